@@ -1,0 +1,22 @@
+"""Size checks before broadcasting.
+
+A side is broadcast only when its row count is proven to be under a bound.
+The probe is ``limit(bound + 1).count()``, which stops scanning once the bound
+is exceeded, so probing a large input is cheap.  Above the bound the caller's
+shuffle-based path is used (and AQE may still turn it into a broadcast join
+from runtime statistics).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def rows_at_most(df: DataFrame, bound: int) -> bool:
+    return df.limit(bound + 1).count() <= bound
+
+
+def broadcast_if_small(df: DataFrame, bound: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if rows_at_most(df, bound) else df

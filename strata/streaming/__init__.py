@@ -1,0 +1,7 @@
+"""Streaming.
+
+The behaviour this library reproduces is batch-only: there is no streaming
+source, watermark, window or state anywhere in it, so nothing lives here.
+Every plan in ``strata.plans`` is a plain DataFrame plan and can be run over a
+``readStream`` source with ``foreachBatch`` if a caller needs micro-batches.
+"""
