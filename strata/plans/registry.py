@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["strata.plans.sales"]
+_MODULES = ["strata.plans.sales", "strata.plans.documents", "strata.plans.flights",
+            "strata.plans.strings"]
 
 
 def _load():
