@@ -27,8 +27,8 @@ COARSE_AGE_BANDS = [
 COARSE_AGE_ABOVE = (64, 11)
 
 
-def _banded(age_text, bands, above) -> Column:
-    age = safe_int(age_text)
+def _banded(age_text, bands, above, age_int=None) -> Column:
+    age = safe_int(age_text) if age_int is None else age_int
     expr = None
     for lo, hi, code in bands:
         cond = age.between(lo, hi)
@@ -36,12 +36,13 @@ def _banded(age_text, bands, above) -> Column:
     return expr.when(age > above[0], F.lit(above[1]))
 
 
-def fine_age_band(age_text) -> Column:
-    return _banded(age_text, FINE_AGE_BANDS, FINE_AGE_ABOVE)
+def fine_age_band(age_text=None, age_int: Column | None = None) -> Column:
+    """Fine age code of a text age (or of an already converted int age)."""
+    return _banded(age_text, FINE_AGE_BANDS, FINE_AGE_ABOVE, age_int)
 
 
-def coarse_age_band(age_text) -> Column:
-    return _banded(age_text, COARSE_AGE_BANDS, COARSE_AGE_ABOVE)
+def coarse_age_band(age_text=None, age_int: Column | None = None) -> Column:
+    return _banded(age_text, COARSE_AGE_BANDS, COARSE_AGE_ABOVE, age_int)
 
 
 def band_case_sql(age_sql: str, bands, above) -> str:

@@ -12,12 +12,16 @@ from pyspark.sql import Column, functions as F
 from strata.functions._col import col
 
 NUMERIC_TEXT = r"^\s*[+-]?[0-9]*[.]?[0-9]*\s*$"
+INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 
 
 def safe_int(c) -> Column:
+    """Regex guards keep text that is not a number away from the casts: a
+    failing cast is far slower than a pattern test.  Integer texts take the
+    plain cast; the decimal round trip is only for fractions."""
     text = col(c).cast("string")
-    return F.when(text.rlike(NUMERIC_TEXT),
-                  F.trim(text).try_cast("decimal(38,18)").try_cast("int"))
+    return (F.when(text.rlike(INTEGER_TEXT), F.trim(text).try_cast("int"))
+             .when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("decimal(38,18)").try_cast("int")))
 
 
 def as_text(c) -> Column:

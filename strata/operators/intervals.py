@@ -38,7 +38,7 @@ def latest_start(left: DataFrame, left_start: str, right: DataFrame, right_start
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
                  left_start: str, left_end: str, right_start: str, right_end: str,
-                 bin_days: int = 31, horizon=None) -> DataFrame:
+                 bin_days: int = 91, horizon=None) -> DataFrame:
     """Inner join of rows with equal ``keys`` whose inclusive date intervals
     overlap: ``right_start <= left_end and right_end >= left_start``.
 
@@ -60,7 +60,10 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
         bins = F.when(s.isNotNull() & e.isNotNull(), F.sequence(lo, F.greatest(lo, hi)))
         return df.withColumn(name, F.explode(bins))
 
-    lb = binned(left, left_start, left_end, "_ovl_lbin")
+    # Hash-partition the exploded side on exactly the join keys: at scale this
+    # is the shuffle the (key, bin) sort-merge join needs anyway, and when AQE
+    # broadcasts the other side it still spreads the probe work over all tasks.
+    lb = binned(left, left_start, left_end, "_ovl_lbin").repartition(*keys, "_ovl_lbin")
     rb = binned(right, right_start, right_end, "_ovl_rbin")
     rb = rb.select(*[F.col(k).alias(f"_ovl_r_{k}") for k in keys],
                    *[c for c in rb.columns if c not in keys])
@@ -100,13 +103,21 @@ def keep_latest(df: DataFrame, keys: list[str], order_col: str,
 
 
 def close_segments(df: DataFrame, keys: list[str], start: str, end_name: str = "end_date",
-                   open_end: str = OPEN_END) -> DataFrame:
+                   open_end: str = OPEN_END, checkpoint: bool = True) -> DataFrame:
     """Set each row's end to the next start of the same key minus one day.
 
     The last row of a key ends one day before ``open_end``.  ``(keys, start)``
     must be unique (see ``keep_latest``).  Gaps between rows are filled and
     the old end is replaced.
+
+    The input is read twice (rows, and the per-year first starts).  With
+    ``checkpoint`` it is first written once to the session's checkpoint
+    directory, so the upstream plan runs once and the lineage is cut there.
     """
+    if checkpoint:
+        from strata.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     yr = F.year(F.col(start)).alias("_cs_year")
     base = df.withColumn("_cs_year", yr)
     in_year = Window.partitionBy(*keys, "_cs_year").orderBy(start)
