@@ -111,13 +111,13 @@ def close_segments(df: DataFrame, keys: list[str], start: str, end_name: str = "
     the old end is replaced.
 
     The input is read twice (rows, and the per-year first starts).  With
-    ``checkpoint`` it is first written once to the session's checkpoint
-    directory, so the upstream plan runs once and the lineage is cut there.
+    ``checkpoint`` it is first written once as parquet under the session's
+    checkpoint directory, so the upstream plan runs once and the lineage is
+    cut there.
     """
     if checkpoint:
-        from strata.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        from strata.session import materialize
+        df = materialize(df, "segments")
     yr = F.year(F.col(start)).alias("_cs_year")
     base = df.withColumn("_cs_year", yr)
     in_year = Window.partitionBy(*keys, "_cs_year").orderBy(start)

@@ -61,3 +61,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the checkpoint directory for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the checkpoint directory and return
+    a DataFrame reading it back.
+
+    This cuts the lineage (a lost executor re-reads the files instead of
+    recomputing the upstream plan) and lets several branches of a plan share
+    one computation.  Parquet is columnar and compressed, so this is much
+    cheaper than ``DataFrame.checkpoint()``'s serialized rows.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"strata-{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
