@@ -8,8 +8,8 @@ Scale notes
   a pair is kept only in the bin holding its clipped start, so each pair is
   produced once.  A hot key is split by time; AQE splits a hot (key, bin)
   further.
-* ``keep_latest`` is a grouped aggregation (``max`` of a struct), so duplicate
-  (key, start) rows are combined on the map side before any shuffle.
+* ``keep_latest`` is a top-1 per key with a partial (map-side) limit, so
+  duplicate (key, start) rows are cut down before any shuffle.
 * ``close_segments`` needs "the next start" per key.  After ``keep_latest`` a
   (key, start) is unique, so a (key, year) group holds at most 366 rows; the
   lead runs inside (key, year) groups and a small per-(key, year) table
@@ -91,15 +91,18 @@ def keep_latest(df: DataFrame, keys: list[str], order_col: str,
 
     Ties go to the largest ``tie_break`` columns in order (nulls lowest); by
     default every other column, which makes the pick deterministic.
-    Implemented as ``max(struct(...))`` per key: a partial aggregation.
+
+    Written as ``row_number() = 1``: Spark plans it as a partial
+    WindowGroupLimit before the shuffle (a map-side top-1 per key and task)
+    and a final one after it, so duplicates of a hot key are cut down before
+    they are shuffled.
     """
     others = [c for c in df.columns if c not in keys and c != order_col]
     tie_break = list(tie_break) if tie_break is not None else others
-    rest = [c for c in others if c not in tie_break]
-    payload = F.struct(*[F.col(c) for c in [order_col, *tie_break, *rest]])
-    best = df.groupBy(*keys).agg(F.max(payload).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [order_col, *tie_break, *rest]]) \
-               .select(*df.columns)
+    order = [F.col(c).desc_nulls_last() for c in [order_col, *tie_break]]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return (df.withColumn("_kl_rn", F.row_number().over(w))
+            .filter(F.col("_kl_rn") == 1).drop("_kl_rn"))
 
 
 def close_segments(df: DataFrame, keys: list[str], start: str, end_name: str = "end_date",
