@@ -3,7 +3,7 @@
 Rolling hashes of the words' bytes, and over them of n-grams of several lengths, are kept as prefix
 sums in numpy, so the hash of any n-gram costs one subtraction.  Equal hashes within a text are
 found by sorting; what counts is the share of the text's word characters that lie inside n-grams or
-lines found more than once.
+lines which the text has already had, so that one repeated heading costs a clean text half as much.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from strata.llm import texts
 
-#: Longest share of word characters inside repeated n-grams, by n-gram length.
+#: Largest share of word characters inside n-grams that came before, by n-gram length.
 MAX_COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Largest share of lines, and of word characters in lines, that repeat an earlier line.
 MAX_DUP_LINES, MAX_DUP_LINE_CHARS = 0.30, 0.20
@@ -40,11 +40,12 @@ def _covered(hits: np.ndarray, n: int, total: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def _repeats(grams: np.ndarray, at: np.ndarray, doc: np.ndarray, salt: np.ndarray, n: int, among: np.ndarray) -> np.ndarray:
-    """Of the words ``among``, those that start an n-gram which their text holds twice or more."""
+def _repeats(grams: np.ndarray, at: np.ndarray, doc: np.ndarray, salt: np.ndarray, n: int, among: np.ndarray) -> list[np.ndarray]:
+    """Of the words ``among``: those that start an n-gram which their text holds twice or more, and
+    those that start one which it held before."""
     among = among[among + n <= at[1:][doc[among]]]
     keys = texts.span_hash(grams, among, among + n) ^ salt[doc[among]]
-    return among[texts.repeated(keys)[0]]
+    return [among[x] for x in texts.repeated(keys)]
 
 
 def _lines(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,11 +86,11 @@ def profile(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     dup_line_chars = per_doc(again, chars[last[again]] - chars[first[again]])
 
     grams = texts.prefix_hash(texts.span_hash(prefix, starts, ends))
-    hits = _repeats(grams, at, doc, salt, 3, np.arange(len(starts)))
-    n_repeat = texts.sums(_covered(hits, 3, len(starts)), at)
+    twice, _ = _repeats(grams, at, doc, salt, 3, np.arange(len(starts)))
+    n_repeat = texts.sums(_covered(twice, 3, len(starts)), at)
     coverage = {}
-    for n in MAX_COVERAGE:  # a repeated n-gram starts with a repeated shorter one
-        hits = _repeats(grams, at, doc, salt, n, hits)
+    for n in MAX_COVERAGE:  # among the repeated 5-grams, both copies, start all longer ones
+        twice, hits = _repeats(grams, at, doc, salt, n, twice)
         coverage[n] = texts.sums(np.where(_covered(hits, n, len(starts)), length, 0), at)
 
     failed = (n_words < MIN_WORDS) | (100 * n_repeat > 100 * MAX_REPEATED_WORDS * n_words)

@@ -5,15 +5,17 @@ from strata.llm import repetition
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
-def covered(words, n):
+def covered(words, n, later=False):
     grams = [tuple(words[i:i + n]) for i in range(len(words) - n + 1)]
     seen = {}
     for g in grams:
         seen[g] = seen.get(g, 0) + 1
     hit = set()
+    past = set()
     for i, g in enumerate(grams):
-        if seen[g] > 1:
+        if seen[g] > 1 and (g in past or not later):
             hit |= set(range(i, i + n))
+        past.add(g)
     return hit
 
 
@@ -25,7 +27,7 @@ def brute(text):
     size = [len(w) for w in words]
     n_symbols, n_repeat = sum(c in "#*$%&|<>" for c in text), len(covered(words, 3))
     dup_chars = sum(len(w) for x in dup for w in WORD.findall(x))
-    cover = {n: sum(size[i] for i in covered(words, n)) for n in repetition.MAX_COVERAGE}
+    cover = {n: sum(size[i] for i in covered(words, n, True)) for n in repetition.MAX_COVERAGE}
     failed = len(words) < 50 or 100 * n_repeat > 50 * len(words)
     bad = n_symbols > repetition.MAX_SYMBOLS * len(words) or len(dup) > repetition.MAX_DUP_LINES * len(lines)
     bad = bad or dup_chars > repetition.MAX_DUP_LINE_CHARS * sum(size)
