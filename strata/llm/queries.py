@@ -10,6 +10,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.langid import fit, identify
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = fit(docs.where(~out))
+    found = identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", F.coalesce(out, F.lit(False)).alias("held_out"), "lang_pred",
+                        F.col("lang_score").alias("score"), F.size("lang_spans").cast("long").alias("n_spans"))
+
+
 def op5_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.repetition import repetition_quality
 
@@ -25,5 +36,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op5_repetition_quality, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op5_repetition_quality, op10_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
