@@ -21,6 +21,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_score").alias("score"), F.size("lang_spans").cast("long").alias("n_spans"))
 
 
+def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_near``: of each searched document (id divisible by 100), the other documents within 3 bits."""
+    from strata.llm.simhash import edit_stability, near_counts
+    from strata.llm.store import stored
+
+    made = stored(edit_stability(_table(spark, sf_dir, "documents").select("doc_id", "text")), "fingerprints")
+    asked = made.where("doc_id % 100 = 0").select("fp").distinct()
+    near = near_counts(asked, made.groupBy("fp").agg(F.count("*").alias("n")), radius=3)
+    found = made.join(near, "fp", "left")
+    code = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    return found.select("doc_id", "n_chars", "edited_sha256", code("fp").alias("fingerprint"),
+                        code("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
+                        F.expr("CASE WHEN doc_id % 100 = 0 THEN n_near - 1 END").alias("n_near"))
+
+
 def op5_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.repetition import repetition_quality
 
@@ -36,5 +51,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op5_repetition_quality, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op10_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
