@@ -43,6 +43,17 @@ def op5_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(docs, keep=["doc_id"])
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.mil import fit, score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    params = fit(docs.where(~out), _table(spark, sf_dir, "labels").where(~out).select("doc_id", "quality"))
+    found = score(docs, params, keep=["doc_id"])
+    return found.select("doc_id", F.coalesce(out, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score"),
+                        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"), "n_passages", "top_attention")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.near_dedup import near_duplicates
 
@@ -51,5 +62,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op10_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
