@@ -24,16 +24,16 @@ def test_gradient_against_differences():
 def test_attention_finds_the_bad_passage():
     rng = np.random.default_rng(1)
     bags, labels = [], []
-    for i in range(400):
+    for i in range(1200):
         bag = rng.normal(0, 1, (rng.integers(2, 12), mil.N_FEATURES)).astype(np.float32)
         if i % 2:
             bag[rng.integers(len(bag)), :3] += 4
         bags.append(bag)
         labels.append(1 - i % 2)
-    p = mil.train(bags[:300], np.array(labels[:300]))
-    x, cuts = np.concatenate(bags[300:]), np.r_[0, np.cumsum([len(b) for b in bags[300:]])]
+    p = mil.train(bags[:1000], np.array(labels[:1000]))
+    x, cuts = np.concatenate(bags[1000:]), np.r_[0, np.cumsum([len(b) for b in bags[1000:]])]
     f = mil._forward(p, (x - p["mean"]) * p["scale"], cuts)
-    assert np.mean((f["s"] >= 0.5) == labels[300:]) > 0.85
+    assert np.mean((f["s"] >= 0.5) == labels[1000:]) > 0.85
 
 
 def test_held_out_documents(spark):
