@@ -54,6 +54,19 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("quality_score") >= 0.3).cast("int").alias("predicted"), "n_passages", "top_attention")
 
 
+def tokenizer_files() -> tuple[str, str]:
+    """Paths of the byte-level tokenizer and of its vocabulary as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), *tokenizer_files(), width=1024)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.near_dedup import near_duplicates
 
@@ -62,5 +75,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op9_packing, op10_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
