@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ from strata.llm import texts
 from strata.llm.store import stored
 
 LEAF, FAN = 128, 32
+#: Nodes that one task groups into the next level; fixed, so every level is much smaller than the last.
+NODES_A_TASK = 4096
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -129,17 +131,19 @@ def _group(size: int):
     return run
 
 
-def _level(rows: DataFrame, order: str, size: int, one: bool = False) -> DataFrame:
-    rows = rows.coalesce(1) if one else rows.repartitionByRange(order)
+def _level(rows: DataFrame, order: str, size: int) -> DataFrame:
     return rows.sortWithinPartitions(order).select("node", "mask", "bits").mapInArrow(_group(size), _NODE)
 
 
 def build_index(fps: DataFrame, leaf: int = LEAF, fan: int = FAN) -> list[DataFrame]:
     """Levels of the index over distinct longs ``fp``, leaves first; the last level has one node."""
     rows = fps.select(F.col("fp").alias("node"), F.lit(-1).cast("long").alias("mask"), F.col("fp").alias("bits"))
-    levels = [stored(_level(rows.withColumn("rank", gray_rank(F.col("node"))), "rank", leaf), "gray-leaves")]
+    ranked = rows.withColumn("rank", gray_rank(F.col("node"))).repartitionByRange("rank")
+    levels = [stored(_level(ranked, "rank", leaf), "gray-leaves")]
     while (n := levels[-1].count()) > 1:
-        levels.append(stored(_level(levels[-1].select("node", "mask", "bits"), "node", fan, n <= fan), "gray-nodes"))
+        nodes, tasks = levels[-1].select("node", "mask", "bits"), -(-n // NODES_A_TASK)
+        nodes = nodes.coalesce(1) if tasks == 1 else nodes.repartitionByRange(tasks, "node")
+        levels.append(stored(_level(nodes, "node", fan), "gray-nodes"))
     return levels
 
 
@@ -228,18 +232,20 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star hangs each larger neighbour of a vertex onto the smallest one, small-star the smaller
     ones; the rounds end when nothing changes, after about the logarithm of the longest path.
     """
-    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v")
     state = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+        both = both.select("e.*")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("low"))
-        hung = large.join(low, "u")
-        small = hung.where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v")).unionByName(
-            low.select("u", F.col("low").alias("v"))).distinct()
-        edges = stored(small, "stars")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        hung = large.join(low, "u")  # what a vertex hangs on, and the smallest of that
+        small = hung.select(F.explode(F.array(F.struct("u", F.col("low").alias("v")), F.struct(F.col("v").alias("u"), F.col("low").alias("v")))).alias("e"))
+        seen = Observation()
+        count = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("sum")
+        edges = stored(small.select("e.*").where("u != v").distinct().observe(seen, *count), "stars")
+        now = seen.get
         if now == state:
             return edges.select("u", F.col("v").alias("root"))
         state = now
