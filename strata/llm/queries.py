@@ -54,6 +54,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("quality_score") >= 0.3).cast("int").alias("predicted"), "n_passages", "top_attention")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.line_dedup import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
+
+
 def tokenizer_files() -> tuple[str, str]:
     """Paths of the byte-level tokenizer and of its vocabulary as ranks."""
     import public_tokenizers
@@ -75,5 +81,37 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op9_packing, op10_simhash_near_dedup)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op7_line_dedup, op9_packing, op10_simhash_near_dedup)}
+ORACLE: dict[str, str] = {
+    # every repeated run of 50 words is a union of shortest stretches with 50 words from or up to a line
+    "op7_line_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p
+            FROM documents
+        ), full_lines AS (
+            SELECT doc_id, p, line, row_number() OVER w AS i, coalesce(lead(p) OVER w, 1000000000) AS nxt,
+                   sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) OVER w AS till,
+                   len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+            FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+        ), stretches AS (
+            SELECT a.doc_id, a.i, min(b.i) AS e FROM full_lines a JOIN full_lines b ON a.doc_id = b.doc_id AND b.i >= a.i
+                AND b.till - a.till + a.words >= 50 GROUP BY ALL
+            UNION
+            SELECT a.doc_id, max(b.i), a.i FROM full_lines a JOIN full_lines b ON a.doc_id = b.doc_id AND b.i <= a.i
+                AND a.till - b.till + b.words >= 50 GROUP BY a.doc_id, a.i
+        ), content AS (
+            SELECT s.doc_id, s.i, s.e, string_agg(l.line, chr(10) ORDER BY l.i) AS lines
+            FROM stretches s JOIN full_lines l ON l.doc_id = s.doc_id AND l.i BETWEEN s.i AND s.e GROUP BY ALL
+        ), later AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lines ORDER BY doc_id, i) AS nth FROM content) WHERE nth > 1
+        ), gone AS (
+            SELECT DISTINCT l.doc_id, l.p, l.nxt FROM later r JOIN full_lines l ON l.doc_id = r.doc_id AND l.i BETWEEN r.i AND r.e
+        ), kept AS (
+            SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.p) AS text FROM split s
+            WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = s.doc_id AND s.p >= g.p AND s.p < g.nxt) GROUP BY s.doc_id
+        )
+        SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+               (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed
+        FROM documents d LEFT JOIN kept k USING (doc_id)
+    """,
+}
