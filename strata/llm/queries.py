@@ -60,6 +60,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.mixing import mix
+
+    found = mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), keep=["doc_id", "source", "lang"])
+    return found.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
+                        F.round("mix_prob", 6).alias("prob"), F.col("mix_kept").alias("kept"))
+
+
 def tokenizer_files() -> tuple[str, str]:
     """Paths of the byte-level tokenizer and of its vocabulary as ranks."""
     import public_tokenizers
@@ -81,8 +89,39 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op7_line_dedup, op9_packing, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup)}
+def _mixing_sql(sweeps: int = 30) -> str:
+    steps, last = [], "start"
+    for k in range(sweeps):
+        for dim, target in (("source", "ts"), ("lang", "tl"), ("topic", "tt")):
+            steps.append(f"f{k}{dim} AS (SELECT * EXCLUDE w, w * {target} / sum(w) OVER (PARTITION BY {dim}) AS w FROM {last})")
+            last = f"f{k}{dim}"
+    return rf"""
+        WITH d AS (
+            SELECT doc_id, source AS s0, lang AS l0, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+                   CASE WHEN regexp_matches(text, '(?i)licen[cs]e|copyright|all rights reserved') THEN 'license'
+                        WHEN regexp_matches(text, '[^\s@]@[^\s@]+\.[a-z]|\d{{3}}[ -]\d{{3,4}}') THEN 'contact'
+                        WHEN regexp_matches(text, '[#*$%&|<>]{{3}}') THEN 'markup'
+                        WHEN regexp_matches(text, '!!') THEN 'shouting' ELSE 'prose' END AS topic,
+                   greatest(1, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)) AS tokens,
+                   ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS draw
+            FROM documents
+        ), c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS t FROM d GROUP BY ALL
+        ), m AS (
+            SELECT *, power(sum(t) OVER (PARTITION BY source), 0.9) AS ps, power(sum(t) OVER (PARTITION BY lang), 0.9) AS pl,
+                   power(sum(t) OVER (PARTITION BY topic), 0.95) AS pt FROM c
+        ), start AS (
+            SELECT *, t AS w, ps / (SELECT sum(p) FROM (SELECT DISTINCT source, ps AS p FROM m)) AS ts,
+                   pl / (SELECT sum(p) FROM (SELECT DISTINCT lang, pl AS p FROM m)) AS tl,
+                   pt / (SELECT sum(p) FROM (SELECT DISTINCT topic, pt AS p FROM m)) AS tt FROM m
+        ), {', '.join(steps)}, p AS (SELECT source, lang, topic, w / t / max(w / t) OVER () AS prob FROM {last})
+        SELECT doc_id, s0 AS source, l0 AS lang, d.topic, tokens, round(prob, 6) AS prob, draw < prob AS kept
+        FROM d JOIN p ON d.source = p.source AND d.lang = p.lang AND d.topic = p.topic
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op8_mixing": _mixing_sql(),
     # every repeated run of 50 words is a union of shortest stretches with 50 words from or up to a line
     "op7_line_dedup": r"""
         WITH split AS (
