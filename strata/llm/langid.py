@@ -150,7 +150,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
                            F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(1_000_000)).alias("draw")).where("lang IS NOT NULL AND text IS NOT NULL")
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), train_docs / F.count("*")).alias("share"))
     drawn = rows.join(F.broadcast(share), "lang").where("draw < share * 1000000").select("text", "lang")
-    counted = drawn.mapInArrow(_counts("text", "lang"), "lang string, bucket long, n long")
+    counted = drawn.mapInArrow(texts.tidy(_counts("text", "lang")), "lang string, bucket long, n long")
     found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(found["lang"].unique())
     raw = np.zeros((BUCKETS + SCRIPTS, len(langs)))

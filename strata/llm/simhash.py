@@ -144,7 +144,7 @@ def edit_stability(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), F.coalesce(docs[f"`{text}`"], F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
     parts = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    done = stored(parts.mapInArrow(_edits(arrow), schema), "edits")
+    done = stored(parts.mapInArrow(texts.tidy(_edits(arrow)), schema), "edits")
 
     seams = done.where("seam IS NOT NULL")
     heads = seams.where("seam = 'head'").select("part", F.col("text").alias("after"))
@@ -158,7 +158,7 @@ def edit_stability(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             for i, t, nxt in zip(*(c.to_pylist() for c in batch.columns)):
                 yield _edited([(i, t)], [nxt], arrow)
 
-    return done.where("seam IS NULL").unionByName(tails.mapInArrow(close, schema)).drop("seam", "part", "text")
+    return done.where("seam IS NULL").unionByName(tails.mapInArrow(texts.tidy(close), schema)).drop("seam", "part", "text")
 
 
 def _tables(fps: DataFrame, radius: int, blocks: int) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Bytes of text worked on at once; bounds the temporary arrays of a task (one text at least).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -64,7 +64,19 @@ def map_texts(docs: DataFrame, work: Callable, fields: list[T.StructField], text
                 made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(work(buf, offs), types)]
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + made, names)
 
-    return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].cast("string").alias(own)).mapInArrow(run, schema)
+    return docs.select(*[docs[f"`{c}`"] for c in keep], docs[f"`{text}`"].cast("string").alias(own)).mapInArrow(tidy(run), schema)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` that leaves no tables of powers in a worker which goes on to other tasks."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _POWERS.clear()
+
+    return tidied
 
 
 _POWERS: dict[int, list[np.ndarray]] = {}
