@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.oracle import ORACLE  # noqa: F401
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,6 +23,32 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_score").alias("score"), F.size("lang_spans").cast("long").alias("n_spans"))
 
 
+#: A page is labelled by the documents whose first characters are its title, if there are so many.
+TITLE = 40
+
+
+def page_labels(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pages`` (page_id, url) and ``good``: 1 if at least half of the labelled documents that start
+    with the title are of quality, else 0, null without one."""
+    plain = lambda c: F.substring(F.regexp_replace(F.trim(c), r"\s+", " "), 1, TITLE)
+    title = F.regexp_extract("html", "<title>([^<]*)", 1)
+    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        title = F.replace(title, F.lit(code), F.lit(char))
+    known = docs.select("doc_id", plain(F.substring("text", 1, 4 * TITLE)).alias("start")).join(labels.where("quality IS NOT NULL"), "doc_id")
+    known = known.where(F.length("start") == TITLE).groupBy("start").agg((F.avg("quality") >= 0.5).cast("int").alias("good"))
+    return pages.select("page_id", "url", plain(title).alias("start")).join(known, "start", "left").select("page_id", "url", "good")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.store import stored
+    from strata.llm.url_filter import filter_urls
+
+    pages, docs, labels = (_table(spark, sf_dir, t) for t in ("pages", "documents", "labels"))
+    seen = stored(page_labels(pages, docs, labels.select("doc_id", "quality")), "page-labels")
+    found = filter_urls(seen, seen["good"], keep=["page_id"])
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity"))
+
+
 def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near``: of each searched document (id divisible by 100), the other documents within 3 bits."""
     from strata.llm.simhash import edit_stability, near_counts
@@ -89,68 +117,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier, op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup)}
-def _mixing_sql(sweeps: int = 30) -> str:
-    steps, last = [], "start"
-    for k in range(sweeps):
-        for dim, target in (("source", "ts"), ("lang", "tl"), ("topic", "tt")):
-            steps.append(f"f{k}{dim} AS (SELECT * EXCLUDE w, w * {target} / sum(w) OVER (PARTITION BY {dim}) AS w FROM {last})")
-            last = f"f{k}{dim}"
-    return rf"""
-        WITH d AS (
-            SELECT doc_id, source AS s0, lang AS l0, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
-                   CASE WHEN regexp_matches(text, '(?i)licen[cs]e|copyright|all rights reserved') THEN 'license'
-                        WHEN regexp_matches(text, '[^\s@]@[^\s@]+\.[a-z]|\d{{3}}[ -]\d{{3,4}}') THEN 'contact'
-                        WHEN regexp_matches(text, '[#*$%&|<>]{{3}}') THEN 'markup'
-                        WHEN regexp_matches(text, '!!') THEN 'shouting' ELSE 'prose' END AS topic,
-                   greatest(1, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)) AS tokens,
-                   ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS draw
-            FROM documents
-        ), c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS t FROM d GROUP BY ALL
-        ), m AS (
-            SELECT *, power(sum(t) OVER (PARTITION BY source), 0.9) AS ps, power(sum(t) OVER (PARTITION BY lang), 0.9) AS pl,
-                   power(sum(t) OVER (PARTITION BY topic), 0.95) AS pt FROM c
-        ), start AS (
-            SELECT *, t AS w, ps / (SELECT sum(p) FROM (SELECT DISTINCT source, ps AS p FROM m)) AS ts,
-                   pl / (SELECT sum(p) FROM (SELECT DISTINCT lang, pl AS p FROM m)) AS tl,
-                   pt / (SELECT sum(p) FROM (SELECT DISTINCT topic, pt AS p FROM m)) AS tt FROM m
-        ), {', '.join(steps)}, p AS (SELECT source, lang, topic, w / t / max(w / t) OVER () AS prob FROM {last})
-        SELECT doc_id, s0 AS source, l0 AS lang, d.topic, tokens, round(prob, 6) AS prob, draw < prob AS kept
-        FROM d JOIN p ON d.source = p.source AND d.lang = p.lang AND d.topic = p.topic
-    """
-
-
-ORACLE: dict[str, str] = {
-    "op8_mixing": _mixing_sql(),
-    # every repeated run of 50 words is a union of shortest stretches with 50 words from or up to a line
-    "op7_line_dedup": r"""
-        WITH split AS (
-            SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p
-            FROM documents
-        ), full_lines AS (
-            SELECT doc_id, p, line, row_number() OVER w AS i, coalesce(lead(p) OVER w, 1000000000) AS nxt,
-                   sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) OVER w AS till,
-                   len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
-            FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY p)
-        ), stretches AS (
-            SELECT a.doc_id, a.i, min(b.i) AS e FROM full_lines a JOIN full_lines b ON a.doc_id = b.doc_id AND b.i >= a.i
-                AND b.till - a.till + a.words >= 50 GROUP BY ALL
-            UNION
-            SELECT a.doc_id, max(b.i), a.i FROM full_lines a JOIN full_lines b ON a.doc_id = b.doc_id AND b.i <= a.i
-                AND a.till - b.till + b.words >= 50 GROUP BY a.doc_id, a.i
-        ), content AS (
-            SELECT s.doc_id, s.i, s.e, string_agg(l.line, chr(10) ORDER BY l.i) AS lines
-            FROM stretches s JOIN full_lines l ON l.doc_id = s.doc_id AND l.i BETWEEN s.i AND s.e GROUP BY ALL
-        ), later AS (
-            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lines ORDER BY doc_id, i) AS nth FROM content) WHERE nth > 1
-        ), gone AS (
-            SELECT DISTINCT l.doc_id, l.p, l.nxt FROM later r JOIN full_lines l ON l.doc_id = r.doc_id AND l.i BETWEEN r.i AND r.e
-        ), kept AS (
-            SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.p) AS text FROM split s
-            WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = s.doc_id AND s.p >= g.p AND s.p < g.nxt) GROUP BY s.doc_id
-        )
-        SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
-               (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed
-        FROM documents d LEFT JOIN kept k USING (doc_id)
-    """,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_url_filter, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier,
+    op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup)}
