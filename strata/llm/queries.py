@@ -49,6 +49,18 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict", "template", F.round("purity", 6).alias("purity"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.secret_scan import joined, scan
+
+    base = ("assign", "access", "hex")
+    found = scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    kinds = F.transform("secrets", lambda x: x["kind"])
+    count = [F.size(F.array_remove(kinds, "")) - F.size(F.array_remove(kinds, k)) for k in base]
+    count = [n.cast("long").alias(f"n_{k}") for n, k in zip(count, base)]
+    plain = joined(F.filter("secrets", lambda x: x["number"] < len(base)))
+    return found.select("doc_id", *count, F.sha2(plain, 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
 def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near``: of each searched document (id divisible by 100), the other documents within 3 bits."""
     from strata.llm.simhash import edit_stability, near_counts
@@ -118,5 +130,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_url_filter, op4_simhash_fingerprints, op5_repetition_quality, op6_quality_classifier,
+    op1_language_id, op2_url_filter, op3_secret_scan, op4_simhash_fingerprints,
+    op5_repetition_quality, op6_quality_classifier,
     op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup)}
