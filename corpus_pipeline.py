@@ -1,24 +1,51 @@
-"""The corpus pipeline over ``documents``: named stages, each calling one operator of ``strata.llm``."""
+"""The corpus pipeline over ``documents``: stages in order, each calling one operator of ``strata.llm``."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm.near_dedup import near_duplicates
+from strata.llm import langid, line_dedup, mixing, near_dedup, packing
+from strata.llm.queries import tokenizer_files
 from strata.llm.store import shared_dir
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Least score of an identified language; below it, or without a letter, a document is rejected.
+MIN_LANG_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identifiable language go; a missing ``lang`` becomes the identified one."""
+    found = langid.identify(docs, langid.fit(docs)).where((F.col("lang_pred") != langid.UND) & (F.col("lang_score") >= MIN_LANG_SCORE))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go; a document of which no word is left goes with them."""
+    found = line_dedup.dedup_lines(docs, min_words=50)
+    found = found.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return found.withColumn("n_chars", chars).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the first row of its smallest id."""
-    marked = near_duplicates(docs, shingle=3, radius=2, keep=COLUMNS)
-    return marked.where("doc_id <=> component_id").dropDuplicates(["component_id"]).select(*COLUMNS)
+    """One document of each SimHash group stays."""
+    return near_dedup.keep_one(docs, shingle=3, radius=2)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled to the target weights of source, language and topic."""
+    return mixing.mix(docs).where("mix_kept").select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, with their token ids, in sequences of 1024."""
+    return packing.pack(docs, *tokenizer_files(), width=1024, ids=True)
 
 
-STAGES = [("near copies", near_copies)]
+STAGES = [("language ID", language), ("line dedup", repeated_lines), ("SimHash near-dedup", near_copies),
+          ("mixing", mixture), ("packing", packed)]
 
 #: Language identification learns its model, and fingerprints need XXH64: SQL can't express them.
 ORACLE_SQL = None

@@ -269,3 +269,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, doc_id:
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
     of = named.join(least, "root").select("fp", "component_id")
     return marked.join(of, "fp").select(*[marked[f"`{c}`"] for c in marked.columns], "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each near-duplicate group, whole: that of the smallest id, of equal ids that of the
+    least hash of id and text.  Ids that are null come last.
+
+    Groups are found on ids and hashes alone; the rows themselves are moved once.
+    """
+    key = [F.xxhash64(docs[f"`{doc_id}`"], docs[f"`{text}`"]).alias("k1"), F.xxhash64(F.lit(7), docs[f"`{text}`"], docs[f"`{doc_id}`"]).alias("k2")]
+    marked = near_duplicates(docs.select(docs[f"`{doc_id}`"].alias("id"), docs[f"`{text}`"].alias("text"), *key), shingle, radius, "id", "text", ["k1", "k2"])
+    group = marked.select("k1", "k2", "id", F.struct(F.col("component_id").isNull(), "component_id").alias("group"))
+    first = group.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "k1", "k2")).alias("first"))
+    first = first.select("first.k1", "first.k2").distinct()
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *key)
+    kept = rows.join(first, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("row").alias("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
