@@ -43,10 +43,3 @@ def fine_age_band(age_text=None, age_int: Column | None = None) -> Column:
 
 def coarse_age_band(age_text=None, age_int: Column | None = None) -> Column:
     return _banded(age_text, COARSE_AGE_BANDS, COARSE_AGE_ABOVE, age_int)
-
-
-def band_case_sql(age_sql: str, bands, above) -> str:
-    """The same banding as SQL text (used by the DuckDB oracle)."""
-    parts = [f"WHEN {age_sql} BETWEEN {lo} AND {hi} THEN {code}" for lo, hi, code in bands]
-    parts.append(f"WHEN {age_sql} > {above[0]} THEN {above[1]}")
-    return "CASE " + " ".join(parts) + " END"

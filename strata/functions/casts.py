@@ -24,11 +24,6 @@ def safe_int(c) -> Column:
              .when(text.rlike(NUMERIC_TEXT), F.trim(text).try_cast("decimal(38,18)").try_cast("int")))
 
 
-def as_text(c) -> Column:
-    """``str(x)`` for a scalar: SQL null stays null."""
-    return col(c).cast("string")
-
-
 def text_or_empty(c) -> Column:
     """Value as text, ``''`` when missing (a missing nested object renders empty)."""
     return F.coalesce(col(c).cast("string"), F.lit(""))

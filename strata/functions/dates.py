@@ -12,8 +12,10 @@ def month_name(c) -> Column:
 
 
 def date_from_parts(year, month_name_col, day) -> Column:
-    """Date from a year, a full month name and a day of month."""
-    return F.to_date(F.concat_ws("-", col(year), col(month_name_col), col(day)), "yyyy-MMMM-d")
+    """Date from a year, a full month name and a day of month; null if a part
+    is null or there is no such day."""
+    text = F.concat(col(year).cast("string"), F.lit("-"), col(month_name_col), F.lit("-"), col(day).cast("string"))
+    return F.try_to_date(text, "yyyy-MMMM-d")
 
 
 def date_key(c) -> Column:

@@ -38,8 +38,9 @@ def concat_text(*cols) -> Column:
 
 def has_digit(c) -> Column:
     """True when the text holds at least one digit."""
-    return F.length(F.regexp_extract(col(c).cast("string"), r"(\d+)", 1)) > 0
+    return col(c).cast("string").rlike("[0-9]")
 
 
 def first_digits(c) -> Column:
-    return F.regexp_extract(col(c).cast("string"), r"(\d+)", 1)
+    """The first run of digits, ``''`` without one."""
+    return F.regexp_extract(col(c).cast("string"), "[0-9]+", 0)

@@ -2,7 +2,8 @@
 
 Row positions need an explicit order.  Only the first ``max(positions) + 1``
 rows by that order are materialised (a top-k, no global sort), then the wanted
-positions are picked from that bounded set.
+positions are picked from that bounded set.  Positions are bounded, as the
+rows before the largest one pass through one task.
 """
 
 from __future__ import annotations
@@ -10,9 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+#: Largest row position; beyond it, filter on the ordering columns instead.
+MAX_POSITION = 100_000
+
+
 def rows_at_positions(df: DataFrame, positions: list[int], order_by: list[Column | str]) -> DataFrame:
+    """Rows at 0-based ``positions`` by ``order_by``; those past the end give none."""
     if not positions:
         return df.limit(0)
+    if min(positions) < 0 or max(positions) > MAX_POSITION:
+        raise ValueError(f"positions must lie between 0 and {MAX_POSITION}")
     head = df.orderBy(*order_by).limit(max(positions) + 1)
     # ``head`` holds at most max(positions)+1 rows, so this window is bounded.
     w = Window.orderBy(*order_by)

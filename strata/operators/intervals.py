@@ -4,17 +4,15 @@ segment closing and study-window clipping.
 Scale notes
 -----------
 * ``overlap_join`` never compares all intervals of a key with each other.
-  Both sides are cut into fixed-width date bins and joined on (key, bin), and
-  a pair is kept only in the bin holding its clipped start, so each pair is
-  produced once.  A hot key is split by time; AQE splits a hot (key, bin)
-  further.
+  Both sides are cut into fixed-width date bins and equi-joined on (key, bin),
+  and a pair is kept only in the bin holding its clipped start, so each pair
+  is produced once.  A hot key is split by time; AQE splits a hot (key, bin)
+  further, as the exchanges are the join's own.
 * ``keep_latest`` is a top-1 per key with a partial (map-side) limit, so
   duplicate (key, start) rows are cut down before any shuffle.
-* ``close_segments`` needs "the next start" per key.  After ``keep_latest`` a
-  (key, start) is unique, so a (key, year) group holds at most 366 rows; the
-  lead runs inside (key, year) groups and a small per-(key, year) table
-  carries the first start of the following year.  No window ever holds all
-  rows of one key.
+* ``close_segments`` is a ``lead`` per key.  After ``keep_latest`` a
+  (key, start day) is unique, so a key holds at most one row per calendar
+  day: about 36,500 in a century.
 """
 
 from __future__ import annotations
@@ -29,54 +27,45 @@ def _bin(d: Column, bin_days: int) -> Column:
     return F.floor(F.datediff(d, F.to_date(F.lit(_EPOCH))) / F.lit(bin_days)).cast("long")
 
 
-def latest_start(left: DataFrame, left_start: str, right: DataFrame, right_start: str):
-    """Largest start date on either side (one small aggregate job)."""
-    both = (left.select(F.max(left_start).alias("m"))
-            .unionByName(right.select(F.max(right_start).alias("m"))))
-    return both.agg(F.max("m")).first()[0]
-
-
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
                  left_start: str, left_end: str, right_start: str, right_end: str,
-                 bin_days: int = 91, horizon=None) -> DataFrame:
+                 bin_days: int = 91, bins_until: str | Column | None = None) -> DataFrame:
     """Inner join of rows with equal ``keys`` whose inclusive date intervals
     overlap: ``right_start <= left_end and right_end >= left_start``.
 
     Column names other than ``keys`` must differ between the sides; the keys
     appear once in the output.  Rows with a null bound never match.
 
-    ``horizon`` caps how far an interval is cut into bins (default: the latest
-    start on either side).  Any overlapping pair has its clipped start at or
-    before it, so open ends such as 9999-12-31 do not explode.
+    All days after ``bins_until`` share one bin, so that open ends such as
+    9999-12-31 do not explode.  Any day gives the same pairs; a day near the
+    latest start gives the fewest rows.  By default it is the latest start of
+    the right side, looked up by a scalar subquery of the same plan.
     """
-    if horizon is None:
-        horizon = latest_start(left, left_start, right, right_start)
-    cap = F.to_date(F.lit(str(horizon))) if horizon is not None else None
-
-    def binned(df, s, e, name):
-        s, e = F.col(s), F.col(e)
-        lo = _bin(s, bin_days)
-        hi = _bin(F.least(e, cap), bin_days) if cap is not None else lo
-        bins = F.when(s.isNotNull() & e.isNotNull(), F.sequence(lo, F.greatest(lo, hi)))
+    if bins_until is None:
+        bins_until = right.agg(F.max(right_start)).scalar()
+    until = bins_until if isinstance(bins_until, Column) else F.to_date(F.lit(str(bins_until)))
+    # without any right start there is no pair; any day will do
+    last = _bin(F.coalesce(until, F.to_date(F.lit(_EPOCH))), bin_days)
+
+    def bin_of(day: Column) -> Column:
+        return F.least(_bin(day, bin_days), last + 1)
+
+    def binned(df: DataFrame, s: str, e: str, name: str) -> DataFrame:
+        lo, hi = bin_of(F.col(s)), bin_of(F.col(e))
+        bins = F.when(F.col(s).isNotNull() & F.col(e).isNotNull(), F.sequence(lo, F.greatest(lo, hi)))
         return df.withColumn(name, F.explode(bins))
 
-    # Hash-partition the exploded side on exactly the join keys: at scale this
-    # is the shuffle the (key, bin) sort-merge join needs anyway, and when AQE
-    # broadcasts the other side it still spreads the probe work over all tasks.
-    lb = binned(left, left_start, left_end, "_ovl_lbin").repartition(*keys, "_ovl_lbin")
+    lb = binned(left, left_start, left_end, "_ovl_lbin")
     rb = binned(right, right_start, right_end, "_ovl_rbin")
     rb = rb.select(*[F.col(k).alias(f"_ovl_r_{k}") for k in keys],
                    *[c for c in rb.columns if c not in keys])
+    start, _ = clip(left_start, left_end, right_start, right_end)
     cond = [F.col(k) == F.col(f"_ovl_r_{k}") for k in keys]
-    cond += [
-        F.col("_ovl_lbin") == F.col("_ovl_rbin"),
-        F.col(right_start) <= F.col(left_end),
-        F.col(right_end) >= F.col(left_start),
-        _bin(F.greatest(F.col(left_start), F.col(right_start)), bin_days) == F.col("_ovl_lbin"),
-    ]
+    cond += [F.col("_ovl_lbin") == F.col("_ovl_rbin"),
+             F.col(right_start) <= F.col(left_end), F.col(right_end) >= F.col(left_start),
+             bin_of(start) == F.col("_ovl_lbin")]
     joined = lb.join(rb, cond, "inner")
-    drop = ["_ovl_lbin", "_ovl_rbin"] + [f"_ovl_r_{k}" for k in keys]
-    return joined.drop(*drop)
+    return joined.drop("_ovl_lbin", "_ovl_rbin", *[f"_ovl_r_{k}" for k in keys])
 
 
 def clip(left_start: str, left_end: str, right_start: str, right_end: str):
@@ -106,34 +95,18 @@ def keep_latest(df: DataFrame, keys: list[str], order_col: str,
 
 
 def close_segments(df: DataFrame, keys: list[str], start: str, end_name: str = "end_date",
-                   open_end: str = OPEN_END, checkpoint: bool = True) -> DataFrame:
+                   open_end: str = OPEN_END) -> DataFrame:
     """Set each row's end to the next start of the same key minus one day.
 
     The last row of a key ends one day before ``open_end``.  ``(keys, start)``
     must be unique (see ``keep_latest``).  Gaps between rows are filled and
-    the old end is replaced.
-
-    The input is read twice (rows, and the per-year first starts).  With
-    ``checkpoint`` it is first written once as parquet under the session's
-    checkpoint directory, so the upstream plan runs once and the lineage is
-    cut there.
+    the old end is replaced.  Null keys are one key.
     """
-    if checkpoint:
-        from strata.session import materialize
-        df = materialize(df, "segments")
-    yr = F.year(F.col(start)).alias("_cs_year")
-    base = df.withColumn("_cs_year", yr)
-    in_year = Window.partitionBy(*keys, "_cs_year").orderBy(start)
-    base = base.withColumn("_cs_next", F.lead(start).over(in_year))
-    firsts = base.groupBy(*keys, "_cs_year").agg(F.min(start).alias("_cs_first"))
-    by_year = Window.partitionBy(*keys).orderBy("_cs_year")
-    firsts = firsts.select(*keys, "_cs_year", F.lead("_cs_first").over(by_year).alias("_cs_next_year"))
-    nxt = F.coalesce(F.col("_cs_next"), F.col("_cs_next_year"), F.to_date(F.lit(open_end)))
-    out = (base.join(firsts, [*keys, "_cs_year"], "left")
-           .withColumn(end_name, F.date_add(nxt, -1)))
+    following = F.lead(start).over(Window.partitionBy(*keys).orderBy(start))
+    end = F.date_add(F.coalesce(following, F.to_date(F.lit(open_end))), -1).alias(end_name)
     cols = [c for c in df.columns if c != end_name]
     pos = cols.index(start) + 1
-    return out.select(*cols[:pos], end_name, *cols[pos:])
+    return df.select(*cols[:pos], end, *cols[pos:])
 
 
 def study_window(segments: DataFrame, last_dates: DataFrame, key: str, study_start: str,
@@ -147,17 +120,15 @@ def study_window(segments: DataFrame, last_dates: DataFrame, key: str, study_sta
     * segments ending before ``study_start`` are dropped;
     * keys without a last date are dropped (inner join).
     """
-    s0 = F.to_date(F.lit(study_start))
-    seg = segments.alias("r")
-    md = last_dates.select(F.col(key), F.col(last_date_col).alias("_last")).alias("md")
-    rs, re_ = F.col(f"r.{start}"), F.col(f"r.{end}")
+    first_day, last_day = F.to_date(F.lit(study_start)), F.col("_last")
+
+    def inside(day: Column, bound: str) -> Column:
+        return F.when((day >= F.col(start)) & (day <= F.col(end)), day).otherwise(F.col(bound))
+
+    rows = segments.join(last_dates.select(key, F.col(last_date_col).alias("_last")), key)
     others = [c for c in segments.columns if c not in (key, start, end)]
-    out = md.join(seg, key, "inner").select(
-        F.col(key),
-        F.when(s0.between(rs, re_), s0).otherwise(rs).alias(start),
-        F.when(F.col("_last").between(rs, re_), F.col("_last")).otherwise(re_).alias(end),
-        *[F.col(f"r.{c}") for c in others])
-    return out.filter(F.col(end) >= s0)
+    rows = rows.select(key, inside(first_day, start).alias("_s"), inside(last_day, end).alias("_e"), *others)
+    return rows.where(F.col("_e") >= first_day).select(key, F.col("_s").alias(start), F.col("_e").alias(end), *others)
 
 
 def last_date_per_key(df: DataFrame, key: str, date_col: str = "date", name: str = "date") -> DataFrame:

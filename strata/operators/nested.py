@@ -7,8 +7,8 @@ Catalyst prunes the nested fields that are not read.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType
 
-from strata.functions.casts import text_or_empty
 from strata.functions.dates import date_key
 
 
@@ -38,15 +38,21 @@ def flatten_flight(df: DataFrame, record: str = "data", none_as_text: bool = Fal
     """Nested flight record -> 19 flat columns.
 
     * scalar leaves are rendered as text; a null leaf stays SQL null
-      (``none_as_text=True`` renders it as ``None`` instead);
+      (``none_as_text=True`` renders it as ``None``, and booleans as
+      ``True``/``False``);
     * a missing ``aircraft`` object gives registration ``''``; a missing
       ``live`` object gives ``''`` for all eight live fields;
     * flight number and registration keep their type and may be null.
     """
     r = lambda path: F.col(f"{record}.{path}")
 
-    def text(c: Column) -> Column:
+    ground = f"{record}.live.is_ground"
+    is_boolean = isinstance(df.select(ground).schema[0].dataType, BooleanType)
+
+    def text(c: Column, boolean: bool = False) -> Column:
         t = c.cast("string")
+        if none_as_text and boolean:
+            t = F.initcap(t)
         return F.coalesce(t, F.lit("None")) if none_as_text else t
 
     live = r("live")
@@ -66,22 +72,14 @@ def flatten_flight(df: DataFrame, record: str = "data", none_as_text: bool = Fal
          .alias("AIRCRAFTREGISTRATION"),
     ]
     for out, field in _LIVE_FIELDS:
-        cols.append(F.when(live.isNull(), F.lit("")).otherwise(text(r(f"live.{field}"))).alias(out))
+        cols.append(F.when(live.isNull(), F.lit("")).otherwise(
+            text(r(f"live.{field}"), boolean=is_boolean and field == "is_ground")).alias(out))
     return df.select(*cols)
 
 
-def with_partition_key(df: DataFrame, date_col: str, name: str = "flight_dt") -> DataFrame:
-    """``yyyy-MM-dd`` text column -> int partition key ``yyyymmdd`` (null stays null)."""
-    return df.withColumn(name, date_key(F.col(date_col)))
-
-
 def partitioned_records(docs: DataFrame, array_col: str = "data", date_field: str = "flight_date",
                         key: str = "flight_dt") -> DataFrame:
-    """Explode API documents to one record per row plus its date partition
-    key: ``(key, record)``, key last-but-one as the writer expects it first."""
+    """Explode API documents to one record per row beside its date partition
+    key: ``(key, record)``."""
     rec = explode_records(docs, array_col, "data")
     return rec.select(date_key(F.col(f"data.{date_field}")).alias(key), "data")
-
-
-__all__ = ["explode_records", "flatten_flight", "with_partition_key", "partitioned_records",
-           "FLIGHT_COLUMNS", "text_or_empty"]

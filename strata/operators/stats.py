@@ -2,8 +2,9 @@
 
 Everything is a grouped aggregation (partial aggregation on the map side, so
 hot keys are combined before the shuffle) or a top-k (TakeOrderedAndProject,
-no global sort).  Scalars a statistic depends on (min/max, n, std) are
-computed by one aggregate job and passed on as literals.
+no global sort).  Scalars a statistic depends on (totals, min/max) are scalar
+subqueries of the same plan, so building a plan starts no job; ``density_grid``
+alone runs one aggregate job, as its grid is made in Python.
 """
 
 from __future__ import annotations
@@ -12,8 +13,6 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strata.functions._col import col
-
 
 # --------------------------------------------------------------------------- frequencies
 
@@ -32,13 +31,13 @@ def value_counts(df: DataFrame, column: str, name: str = "n", dropna: bool = Tru
 
 
 def with_share(counts: DataFrame, count_col: str = "n", name: str = "share") -> DataFrame:
-    """Add each group's share of the total.
+    """Add each group's share of the total; null if that is null or zero.
 
-    The input is an aggregated frequency table (one row per group); the total
-    is one scalar aggregate over it, applied as a literal.
+    The input is an aggregated frequency table (one row per group).  The total
+    is a scalar subquery, whose exchanges are those of the table itself.
     """
-    total = counts.agg(F.sum(count_col)).first()[0] or 0
-    return counts.withColumn(name, F.col(count_col) / F.lit(float(total)) if total else F.lit(None).cast("double"))
+    total = F.nullif(counts.agg(F.sum(count_col).cast("double")).scalar(), F.lit(0.0))
+    return counts.withColumn(name, F.col(count_col) / total)
 
 
 def top_n(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
@@ -46,21 +45,10 @@ def top_n(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_value(df: DataFrame, column: str, name: str = "n") -> DataFrame:
-    """The most frequent non-null value (ties: smallest value)."""
-    return value_counts(df, column, name).limit(1)
-
-
 def rows_at_max(df: DataFrame, column: str) -> DataFrame:
-    """All rows whose ``column`` equals the column maximum (ties kept).
-
-    Written as a scalar subquery, so the max is a separate aggregate job and
-    the filter is pushed into the scan as a literal.
-    """
-    view = f"_strata_max_{id(df)}"
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(
-        f"SELECT * FROM {view} WHERE `{column}` = (SELECT max(`{column}`) FROM {view})")
+    """All rows whose ``column`` equals the column maximum (ties kept); the
+    maximum is a scalar subquery."""
+    return df.where(F.col(column) == df.agg(F.max(column)).scalar())
 
 
 def mean(df: DataFrame, column: str, name: str = "mean", scale: int = 6) -> DataFrame:
@@ -75,39 +63,25 @@ def sorted_distinct(df: DataFrame, column: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- histogram
 
-def _min_max(df: DataFrame, column: str):
-    row = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    return row["lo"], row["hi"]
-
-
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram over [min, max]; the last bin is closed.
 
     Output: one row per bin (empty bins included) with its edges and count.
     A constant column puts every value in the middle bin, as a plotting
-    histogram centres a zero-width range on the value.
+    histogram centres a zero-width range on the value; without values all
+    counts and edges are zero.
     """
-    spark = df.sparkSession
-    lo, hi = _min_max(df, column)
     v = F.col(column).cast("double")
-    if lo is None:
-        counts = spark.createDataFrame([], "bin int, n bigint")
-        lo = hi = 0.0
-    elif hi == lo:
-        counts = (df.filter(v.isNotNull()).agg(F.count(F.lit(1)).alias("n"))
-                  .select(F.lit(bins // 2).alias("bin"), "n"))
-        lo, hi = float(lo) - 0.5, float(hi) + 0.5
-    else:
-        lo, hi = float(lo), float(hi)
-        b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)).cast("int"),
-                    F.lit(bins - 1))
-        counts = (df.filter(v.isNotNull()).groupBy(b.alias("bin"))
-                  .agg(F.count(F.lit(1)).alias("n")))
-    width = (hi - lo) / bins
-    edges = spark.range(bins).select(
-        F.col("id").cast("int").alias("bin"),
-        (F.lit(lo) + F.col("id").cast("double") * F.lit(width)).alias("bin_lo"),
-        (F.lit(lo) + (F.col("id").cast("double") + 1) * F.lit(width)).alias("bin_hi"))
+    span = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi")).alias("span")).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
+    place = F.least(F.floor((v - lo) / F.nullif(hi - lo, F.lit(0.0)) * F.lit(bins)).cast("int"), F.lit(bins - 1))
+    counts = (df.filter(v.isNotNull()).groupBy(F.when(hi == lo, bins // 2).otherwise(place).alias("bin"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    first = F.coalesce(F.when(hi == lo, lo - 0.5).otherwise(lo), F.lit(0.0))
+    width = F.coalesce(F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo), F.lit(0.0)) / F.lit(float(bins))
+    i = F.col("id").cast("double")
+    edges = df.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), (first + i * width).alias("bin_lo"), (first + (i + 1) * width).alias("bin_hi"))
     # ``bins`` rows: a proven bound, so the edge table is broadcast.
     return (counts.join(F.broadcast(edges), "bin", "right")
             .select("bin", "bin_lo", "bin_hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
@@ -115,6 +89,53 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 # --------------------------------------------------------------------------- box statistics
 
+#: Value ranges that a group, and then a range holding a wanted rank, is cut into.
+RANGES = 1000
+_PROBS = ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
+
+
+def _located(parts: DataFrame, wanted: DataFrame, by: list[str], part: str) -> DataFrame:
+    """Of each wanted rank ``k`` (from 0) of a group, the part that holds it; ``k`` becomes its rank there.
+
+    ``parts`` has (by, part, c), ``c`` values each; a group has ``RANGES`` parts at most, so the
+    window that counts up is bounded and the join stays at that many rows a group."""
+    w = Window.partitionBy(*by).orderBy(part)
+    upto = parts.withColumn("_upto", F.sum("_c").over(w))
+    found = wanted.join(upto, by).where((F.col("_k") < F.col("_upto")) & (F.col("_k") >= F.col("_upto") - F.col("_c")))
+    return found.withColumn("_k", F.col("_k") - (F.col("_upto") - F.col("_c"))).drop("_upto", "_c")
+
+
+def quartiles(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """Exact quartiles of (by, _v, _c) pairs: by, n, min, max, q1, median, q3.
+
+    The ranks that the quartiles interpolate between are located, first among ``RANGES`` equal ranges
+    of the group, then among as many of the range that holds them; only what lies in such a small
+    range is put in order.  No task sees all values of a group."""
+    span = pairs.groupBy(*by).agg(F.sum("_c").cast("bigint").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"))
+    ranks = [(F.col("n") - 1) * F.lit(p) for p, _ in _PROBS]
+    wanted = span.select(*by, F.explode(F.array_distinct(F.flatten(F.array(
+        *[F.array(F.floor(r), F.ceil(r)) for r in ranks])))).alias("_rank")).withColumn("_k", F.col("_rank"))
+    at = F.coalesce((F.col("_v") - F.col("min")) / F.nullif(F.col("max") - F.col("min"), F.lit(0.0)), F.lit(0.0)) * RANGES
+    first = F.least(F.floor(at), F.lit(RANGES - 1))
+    second = F.greatest(F.lit(0), F.least(F.floor((at - first) * RANGES), F.lit(RANGES - 1)))
+    placed = pairs.join(span.drop("n"), by).select(*by, "_v", "_c", first.alias("_r1"), second.alias("_r2"))
+
+    def counted(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*by, *keys).agg(F.sum("_c").alias("_c"))
+
+    one = _located(counted(placed, "_r1"), wanted, by, "_r1")
+    near = placed.join(one.select(*by, "_r1").distinct(), [*by, "_r1"], "left_semi")
+    two = _located(counted(near, "_r1", "_r2"), one, [*by, "_r1"], "_r2")
+    small = near.join(two.select(*by, "_r1", "_r2").distinct(), [*by, "_r1", "_r2"], "left_semi")
+    value = _located(small, two, [*by, "_r1", "_r2"], "_v")
+    have = value.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
+    out = span.join(have, by)
+    at_rank = lambda r: F.element_at("_at", r)
+    quarts = [(at_rank(F.floor(r)) + (at_rank(F.ceil(r)) - at_rank(F.floor(r))) * (r - F.floor(r))).alias(name)
+              for r, (_, name) in zip(ranks, _PROBS)]
+    return out.select(*by, "n", "min", "max", *quarts)
+
+
 def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
               approx: bool = False, accuracy: int = 100_000,
               weight: str | None = None) -> DataFrame:
@@ -124,11 +145,9 @@ def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
     most extreme data within 1.5 IQR of the box; points beyond are outliers.
 
     Exact quartiles first collapse the data to (value, count) pairs with a
-    partially aggregated group count, then run ``percentile`` with frequencies,
-    so a task holds one entry per distinct value of a group, not one per row.
+    partially aggregated group count and then select by rank (``quartiles``).
     ``weight`` names a count column when the input is already such pairs.
-    ``approx=True`` uses ``percentile_approx`` (bounded memory for any input,
-    unweighted rows only).
+    ``approx=True`` uses ``percentile_approx`` (unweighted rows only).
     """
     grouped = bool(by)
     by = list(by) if grouped else ["_g"]
@@ -136,20 +155,17 @@ def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     src = (base.select(*by, F.col(column).cast("double").alias("_v"), w.alias("_c"))
            .filter(F.col("_v").isNotNull()))
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     if approx:
         if weight:
             raise ValueError("approximate quartiles take unweighted rows")
         pairs = src
-        quart = src.groupBy(*by).agg(F.percentile_approx("_v", probs, accuracy).alias("_q"),
-                                     F.count(F.lit(1)).alias("n"))
+        probs = F.array(*[F.lit(p) for p, _ in _PROBS])
+        quart = src.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+                                     F.percentile_approx("_v", probs, accuracy).alias("_q"))
+        quart = quart.select(*by, "n", "min", "max", *[F.col("_q")[i].alias(name) for i, (_, name) in enumerate(_PROBS)])
     else:
         pairs = src.groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
-        quart = pairs.groupBy(*by).agg(F.percentile("_v", probs, F.col("_c")).alias("_q"),
-                                       F.sum("_c").alias("n"))
-    quart = quart.select(*by, F.col("n").cast("bigint").alias("n"),
-                         F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                         F.col("_q")[2].alias("q3"))
+        quart = quartiles(pairs, by)
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
@@ -160,8 +176,7 @@ def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
     whiskers = joined.groupBy(*by).agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
-        F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_outliers"),
-        F.min("_v").alias("min"), F.max("_v").alias("max"))
+        F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_outliers"))
     out = quart.join(whiskers, by, "inner")
     keys = by if grouped else []
     return out.select(*keys, "n", "min", "q1", "median", "q3", "max", "iqr",
@@ -178,7 +193,8 @@ def density_grid(df: DataFrame, column: str, points: int = 1000) -> DataFrame:
     to (value, count) pairs; each task then evaluates its share of pairs
     against the whole grid with NumPy (``mapInPandas``) and emits one partial
     sum per grid point, which a grouped sum combines.  The grid has a fixed
-    size, so per-task memory is bounded by batch size x ``points``.
+    size, so per-task memory is bounded by batch size x ``points``.  The cost
+    is distinct values x ``points`` evaluations; values are not binned.
     """
     import numpy as np
     import pandas as pd
@@ -218,6 +234,8 @@ def density_grid(df: DataFrame, column: str, points: int = 1000) -> DataFrame:
 
 # --------------------------------------------------------------------------- scatter
 
-def xy_pairs(df: DataFrame, x: str, y: str, fraction: float | None = None, seed: int = 7) -> DataFrame:
-    out = df.select(x, y)
+def xy_pairs(df: DataFrame, x, y, keep: list[str] | None = None, fraction: float | None = None,
+             seed: int = 7) -> DataFrame:
+    """The two columns of a scatter chart, with ``keep`` before them; ``fraction`` samples."""
+    out = df.select(*(keep or []), x, y)
     return out.sample(fraction=fraction, seed=seed) if fraction else out

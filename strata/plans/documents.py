@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.plans.tables import Tables
+from strata.sources.writers import peek, row_count
 
 PROPS_SCHEMA = "k int"
 HAVING_MIN = 100
+PEEK_ROWS = 50
 
 
 def event_documents(t: Tables) -> DataFrame:
@@ -47,6 +49,14 @@ def nested_avg(spark: SparkSession, sf: str) -> DataFrame:
     return docs.agg({"k": "avg"}).withColumnRenamed("avg(k)", "avg_k")
 
 
+def struct_array_select(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole struct, an array and a nested field in one projection, the first rows by key."""
+    t = Tables(spark, sf)
+    docs = order_documents(t).withColumn("customer", F.struct(F.col("o_custkey").alias("key"), (F.col("o_custkey") % 7).alias("group")))
+    rows = peek(docs.select("o_orderkey", "customer", "flags", "customer.group"), PEEK_ROWS, [F.col("o_orderkey")])
+    return rows.select("o_orderkey", F.to_json("customer").alias("customer"), array_text("flags").alias("flags"), "group")
+
+
 def array_group_count(spark: SparkSession, sf: str) -> DataFrame:
     docs = order_documents(Tables(spark, sf))
     counts = docs.groupBy("flags").count()
@@ -56,21 +66,20 @@ def array_group_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def sql_having(spark: SparkSession, sf: str) -> DataFrame:
     docs = order_documents(Tables(spark, sf))
-    docs.createOrReplaceTempView("order_docs")
-    out = spark.sql(f"""
-        select flags, count(o_orderkey) as count from ORDER_DOCS
-        group by flags having count > {HAVING_MIN} order by count desc""")
+    out = spark.sql("""
+        select flags, count(o_orderkey) as count from {order_docs}
+        group by flags having count > {least} order by count desc""", order_docs=docs, least=HAVING_MIN)
     return out.select(array_text("flags").alias("flags"), F.col("count").alias("n"))
 
 
 def document_count(spark: SparkSession, sf: str) -> DataFrame:
-    from strata.sources.writers import row_count
     return row_count(event_documents(Tables(spark, sf)), "n")
 
 
 QUERIES = {
     "nested_select": nested_select,
     "nested_avg": nested_avg,
+    "struct_array_select": struct_array_select,
     "array_group_count": array_group_count,
     "sql_having": sql_having,
     "document_count": document_count,
@@ -85,6 +94,10 @@ ORACLE = {
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
     "nested_avg": """
 SELECT avg(CAST(json_extract(props, '$.k') AS INTEGER)) AS avg_k FROM events""",
+    "struct_array_select": _FLAGS.replace("SELECT o_orderkey, flags", "SELECT o_orderkey, o_custkey, flags") + f"""
+SELECT o_orderkey, '{{"key":' || o_custkey || ',"group":' || (o_custkey % 7) || '}}' AS customer,
+       CASE WHEN flags IS NOT NULL THEN '[' || array_to_string(flags, ', ') || ']' END AS flags, o_custkey % 7 AS "group"
+FROM d ORDER BY o_orderkey LIMIT {PEEK_ROWS}""",
     "array_group_count": _FLAGS + """
 SELECT CASE WHEN flags IS NOT NULL THEN '[' || array_to_string(flags, ', ') || ']' END AS flags,
        count(*) AS n FROM d GROUP BY d.flags""",

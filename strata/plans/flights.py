@@ -4,6 +4,8 @@ The analogue: every order is a flight record, and API response pages hold up
 to ``PAGE_SIZE`` records each (``data`` array).  A page is keyed by
 ``o_orderkey div PAGE_SIZE`` and order keys are unique, so a page never holds
 more than ``PAGE_SIZE`` records: the packing step has a proven group bound.
+Packing orders into pages, to explode them again, is what the analogue needs;
+landed API documents are exploded as they are read, without that shuffle.
 Record fields:
 
   flight_date        o_orderdate as yyyy-MM-dd

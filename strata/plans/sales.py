@@ -7,14 +7,15 @@ l_extendedprice (orders: o_totalprice for ranking, where the key is unique),
 Unit_Price = p_retailprice, Unit_Cost = l_extendedprice / l_quantity,
 Product_Category = p_type.
 
-Plan shape: counting questions aggregate before they join (eager
-aggregation).  Lines are counted per order on the map side, the per-order
-counts join ``orders`` and are summed per customer, then per nation; each
-join therefore sees one row per key instead of one row per line, and every
-aggregation has a partial (map-side) step, so a hot key is combined before
-the shuffle.  Dimensions are attached only when a question reads them; the
-star schema is referentially complete (every line has its order, customer,
-nation and part), which the oracle SQL checks by using the full join.
+Plan shape: a question that filters orders, customers or countries filters
+them first, so that ``lineitem`` is joined once, on the order key, with what is
+left, and only its order key is read.  A question over all lines aggregates
+before it joins: lines are counted per order on the map side, the per-order
+counts join ``orders`` and are summed per customer, then per nation.  Every
+aggregation has a partial (map-side) step, so a hot key is combined before the
+shuffle.  Dimensions are attached only when a question reads them; the star
+schema is referentially complete (every line has its order, customer, nation
+and part), which the oracle SQL checks by using the full join.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions.dates import date_from_parts, month_name
 from strata.operators import stats
-from strata.operators.sizing import broadcast_if_small
+from strata.sources.writers import peek, row_count
 from strata.plans.tables import Tables
 
 # Parameters of the analogue questions.
@@ -38,11 +39,11 @@ REVENUE_BONUS = 50
 TAX_RATE = 1.072
 TOP_N = 5
 HIST_BINS = 30
+LIKE_PREDICATE = "o_orderpriority LIKE '1-%' AND o_orderstatus NOT LIKE 'P%'"
 
 
 def _nation(t: Tables) -> DataFrame:
-    # 25 rows by the schema's definition; size still checked before broadcast.
-    return broadcast_if_small(t.nation.select("n_nationkey", "n_name"), 10_000)
+    return t.nation.select("n_nationkey", "n_name")
 
 
 def lines_per_order(t: Tables) -> DataFrame:
@@ -64,12 +65,24 @@ def lines_per_nation(t: Tables) -> DataFrame:
             .select("n_name", F.col("n").cast("bigint").alias("n")))
 
 
-def _country_customers(t: Tables, countries) -> DataFrame:
-    nat = _nation(t).filter(F.col("n_name").isin(*countries))
+def _customers(t: Tables, country=None) -> DataFrame:
+    """Customers with their nation, those of the nations that ``country`` admits."""
+    nat = _nation(t) if country is None else _nation(t).filter(country)
     return (t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
             .join(nat, F.col("c_nationkey") == F.col("n_nationkey")))
 
 
+def _orders_of(t: Tables, customers: DataFrame) -> DataFrame:
+    """Orders with their customers' columns."""
+    return t.orders.select("o_orderkey", "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _lines_of(t: Tables, orders: DataFrame, *columns: str, line_filter=None) -> DataFrame:
+    """Lines (``columns`` beside the order key) of some orders: the one join with lineitem."""
+    lines = t.lineitem if line_filter is None else t.lineitem.filter(line_filter)
+    return lines.select("l_orderkey", *columns).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 # --------------------------------------------------------------------------- questions
 
 def value_counts_priority(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,7 +103,7 @@ def country_share(spark: SparkSession, sf: str) -> DataFrame:
 
 def top_country(spark: SparkSession, sf: str) -> DataFrame:
     counts = lines_per_nation(Tables(spark, sf))
-    return counts.orderBy(F.col("n").desc(), F.col("n_name").asc()).limit(1)
+    return stats.top_n(counts, 1, [F.col("n").desc(), F.col("n_name").asc()])
 
 
 def category_share(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,25 +117,16 @@ def category_share(spark: SparkSession, sf: str) -> DataFrame:
 
 def state_counts_in_country(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    cust = _country_customers(t, [COUNTRY])
-    per_cust = lines_per_customer(t)
-    return (per_cust.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .groupBy("c_mktsegment").agg(F.sum("n").cast("bigint").alias("n")))
-
-
-def _country_lines(t: Tables, countries, line_filter=None) -> DataFrame:
-    li = t.lineitem if line_filter is None else t.lineitem.filter(line_filter)
-    cust = _country_customers(t, countries)
-    o = t.orders.select("o_orderkey", "o_custkey")
-    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(cust, F.col("o_custkey") == F.col("c_custkey")))
+    orders = _orders_of(t, _customers(t, F.col("n_name") == COUNTRY))
+    return _lines_of(t, orders).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
 def filter_and(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    rows = _country_lines(t, [COUNTRY], F.col("l_quantity") > AGE_OVER)
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                       "l_extendedprice", "n_name")
+    orders = _orders_of(t, _customers(t, F.col("n_name") == COUNTRY))
+    columns = ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+    rows = _lines_of(t, orders, *columns, line_filter=F.col("l_quantity") > AGE_OVER)
+    return rows.select("l_orderkey", *columns, "n_name")
 
 
 def filter_eq(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,12 +138,8 @@ def filter_eq(spark: SparkSession, sf: str) -> DataFrame:
 def filter_or_count(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     a, b = COUNTRY_PAIR
-    nat = _nation(t).filter((F.col("n_name") == a) | (F.col("n_name") == b))
-    cust = t.customer.select("c_custkey", "c_nationkey").join(
-        nat, F.col("c_nationkey") == F.col("n_nationkey"))
-    per_cust = lines_per_customer(t)
-    return (per_cust.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
+    orders = _orders_of(t, _customers(t, (F.col("n_name") == a) | (F.col("n_name") == b)))
+    return row_count(_lines_of(t, orders.select("o_orderkey")))
 
 
 def _orders_in_months(t: Tables, year: int, months) -> DataFrame:
@@ -151,20 +151,14 @@ def _orders_in_months(t: Tables, year: int, months) -> DataFrame:
             .filter(month_name(d).isin(*months)))
 
 
-def _lines_of(t: Tables, orders: DataFrame) -> DataFrame:
-    per_order = lines_per_order(t)
-    return (per_order.join(orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n")))
-
-
 def month_count(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return _lines_of(t, _orders_in_months(t, YEAR, [MONTH]))
+    return row_count(_lines_of(t, _orders_in_months(t, YEAR, [MONTH]).select("o_orderkey")))
 
 
 def filter_in_count(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return _lines_of(t, _orders_in_months(t, YEAR, MONTHS))
+    return row_count(_lines_of(t, _orders_in_months(t, YEAR, MONTHS).select("o_orderkey")))
 
 
 def _revenue_orders(t: Tables) -> DataFrame:
@@ -190,11 +184,8 @@ def add_constant(spark: SparkSession, sf: str) -> DataFrame:
 
 def conditional_tax(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    c = t.customer.select("c_custkey", "c_nationkey").join(
-        _nation(t), F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = (t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-            .join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(c, F.col("o_custkey") == F.col("c_custkey"))
+    orders = _orders_of(t, _customers(t)).select("o_orderkey", "n_name")
+    rows = (_lines_of(t, orders, "l_linenumber", "l_partkey")
             .join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey")))
     price = F.col("p_retailprice")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "n_name",
@@ -257,12 +248,32 @@ def density_grid(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("i", F.round("x", 8).alias("x"), F.round("density", 8).alias("density"))
 
 
+def box_stats_price_by_country(spark: SparkSession, sf: str) -> DataFrame:
+    """Price box per customer country: a continuous measure, nearly one value a line."""
+    t = Tables(spark, sf)
+    orders = _orders_of(t, _customers(t)).select("o_orderkey", "n_name")
+    rows = _lines_of(t, orders, "l_extendedprice").select("n_name", "l_extendedprice")
+    out = stats.box_stats(rows, "l_extendedprice", by=["n_name"])
+    return out.select("n_name", "n", *[F.round(c, 6).alias(c) for c in out.columns[2:-1]], "n_outliers")
+
+
 def xy_pairs(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     rows = t.lineitem.join(t.part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
-    return rows.select("l_orderkey", "l_linenumber",
-                       (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_cost"),
-                       F.col("p_retailprice").alias("unit_price"))
+    rows = rows.withColumn("unit_cost", F.col("l_extendedprice") / F.col("l_quantity"))
+    return stats.xy_pairs(rows, "unit_cost", F.col("p_retailprice").alias("unit_price"), keep=["l_orderkey", "l_linenumber"])
+
+
+def like_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """A predicate given as SQL text, with a prefix pattern."""
+    t = Tables(spark, sf)
+    return t.orders.where(LIKE_PREDICATE).select("o_orderkey", "o_orderpriority", "o_orderstatus")
+
+
+def peek_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows by order key."""
+    t = Tables(spark, sf)
+    return peek(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), TOP_N, [F.col("o_orderkey")])
 
 
 QUERIES = {
@@ -288,8 +299,11 @@ QUERIES = {
     "histogram_30": histogram_30,
     "box_stats": box_stats,
     "box_stats_by_group": box_stats_by_group,
+    "box_stats_price_by_country": box_stats_price_by_country,
     "density_grid": density_grid,
     "xy_pairs": xy_pairs,
+    "like_prefix": like_prefix,
+    "peek_orders": peek_orders,
 }
 
 
@@ -389,6 +403,18 @@ SELECT q.n_name, q.n, min(v) AS min, q1, median, q3, max(v) AS max, q3 - q1 AS i
        max(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_hi,
        count(CASE WHEN NOT (v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) THEN 1 END) AS n_outliers
 FROM v JOIN q ON v.n_name = q.n_name GROUP BY q.n_name, q.n, q1, median, q3""",
+    "box_stats_price_by_country": _SALES + """,
+v AS (SELECT n_name, CAST(l_extendedprice AS DOUBLE) AS v FROM sales WHERE l_extendedprice IS NOT NULL),
+q AS (SELECT n_name, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+             quantile_cont(v, 0.75) AS q3 FROM v GROUP BY n_name)
+SELECT q.n_name, q.n, round(min(v), 6) AS min, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(max(v), 6) AS max, round(q3 - q1, 6) AS iqr,
+       round(min(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END), 6) AS whisker_lo,
+       round(max(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END), 6) AS whisker_hi,
+       count(CASE WHEN NOT (v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) THEN 1 END) AS n_outliers
+FROM v JOIN q ON v.n_name = q.n_name GROUP BY q.n_name, q.n, q1, median, q3""",
+    "like_prefix": f"SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders WHERE {LIKE_PREDICATE}",
+    "peek_orders": f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT {TOP_N}",
     "density_grid": """
 WITH s AS (SELECT count(l_quantity) AS n, stddev_samp(l_quantity) AS sd,
                   CAST(min(l_quantity) AS DOUBLE) AS lo, CAST(max(l_quantity) AS DOUBLE) AS hi FROM lineitem),

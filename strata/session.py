@@ -6,9 +6,6 @@ Library functions never build a session themselves; callers pass one in.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every plan in this package is designed around: AQE re-plans joins
@@ -22,7 +19,7 @@ PLAN_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "strata", driver_memory: str = "16g") -> SparkSession:
+                  app: str = "strata", driver_memory: str = "12g") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -36,45 +33,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) is a scratch folder created.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
-    return sc.getCheckpointDir()
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the checkpoint directory for intermediate tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
-
-
-def materialize(df, name: str = "stage"):
-    """Write ``df`` once as parquet under the checkpoint directory and return
-    a DataFrame reading it back.
-
-    This cuts the lineage (a lost executor re-reads the files instead of
-    recomputing the upstream plan) and lets several branches of a plan share
-    one computation.  Parquet is columnar and compressed, so this is much
-    cheaper than ``DataFrame.checkpoint()``'s serialized rows.
-    """
-    import uuid
-
-    spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), f"strata-{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

@@ -1,6 +1,6 @@
 """Readers and writers."""
 
-from strata.sources.tables import DRIVER_TABLES, table, catalog_table, register_views
+from strata.sources.tables import DRIVER_TABLES, table, catalog_table
 from strata.sources.files import (read_json_documents, read_json_text, read_documents,
                                   read_sales_csv, read_ctrl_a, read_quoted_csv,
                                   read_unquoted_csv, literal_rows, parse_quoted_csv_text,
@@ -9,7 +9,7 @@ from strata.sources.writers import (overwrite_partitions, write_csv, append_to,
                                     insert_by_name, row_count, schema_rows, peek)
 
 __all__ = [
-    "DRIVER_TABLES", "table", "catalog_table", "register_views", "read_json_documents",
+    "DRIVER_TABLES", "table", "catalog_table", "read_json_documents",
     "read_json_text", "read_documents", "read_sales_csv", "read_ctrl_a", "read_quoted_csv",
     "read_unquoted_csv", "literal_rows", "parse_quoted_csv_text", "parse_unquoted_csv_text",
     "overwrite_partitions", "write_csv", "append_to", "insert_by_name", "row_count",

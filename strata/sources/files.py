@@ -4,9 +4,8 @@ known, so no inference pass runs over large inputs."""
 from __future__ import annotations
 
 import csv
-import io
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -23,11 +22,13 @@ def read_json_text(spark: SparkSession, texts: DataFrame, column: str = "value",
                    schema: StructType | str | None = None) -> DataFrame:
     """Parse JSON held in a text column of a DataFrame (one document per row).
 
-    With no schema, the schema is inferred by a distributed pass over the texts.
+    With no schema, one is found first by an aggregate over the texts (object
+    fields in alphabetical order); texts that are not JSON give null rows.
     """
     if schema is None:
-        return spark.read.json(texts.select(column).rdd.map(lambda r: r[0]))
-    from pyspark.sql import functions as F
+        parsed = F.schema_of_variant_agg(F.try_parse_json(column))
+        found = texts.agg(parsed.alias("s")).first()["s"]
+        schema = found.replace("OBJECT<", "STRUCT<") if found and found != "VOID" else "STRUCT<>"
     return texts.select(F.from_json(column, schema).alias("_doc")).select("_doc.*")
 
 
@@ -69,8 +70,7 @@ def read_unquoted_csv(spark: SparkSession, path: str, schema: StructType | str)
 
 def parse_quoted_csv_text(text: str) -> list[list[str]]:
     """Parse a small, bounded in-memory CSV text (codebooks shipped with code)."""
-    return [row for row in csv.reader(io.StringIO(text), quotechar='"', delimiter=",",
-                                      quoting=csv.QUOTE_ALL, skipinitialspace=True) if row]
+    return [row for row in csv.reader(text.splitlines(), skipinitialspace=True) if row]
 
 
 def parse_unquoted_csv_text(text: str) -> list[list[str]]:

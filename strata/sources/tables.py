@@ -18,8 +18,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     """Scan of a table registered in the session catalog (``db.name``)."""
     return spark.table(name)
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)

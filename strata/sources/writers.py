@@ -6,6 +6,7 @@ through the driver.
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,43 +26,50 @@ def session_conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
-def overwrite_partitions(df: DataFrame, table_name: str) -> None:
+def _dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` in so many partitions, and so as many files a table partition at most."""
+    if partitions is None:
+        return df
+    return df.coalesce(1) if partitions == 1 else df.repartition(partitions)
+
+
+def overwrite_partitions(df: DataFrame, table_name: str, partitions: int | None = None) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition overwrite).
 
     ``insertInto`` is positional: partition columns must come last in ``df``,
     in the table's order.  The per-write option is ignored by ``insertInto`` on
-    datasource tables, so the session conf is set around the write.
+    datasource tables, so the session's conf is set around the write: another
+    write of the same session turns dynamic meanwhile.  Where the data lies at
+    a path, ``overwrite_partitions_at`` touches no conf.
     """
     spark = df.sparkSession
     target_cols = spark.table(table_name).columns
     with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        df.select(*target_cols).write.mode("overwrite").insertInto(table_name)
+        _dealt(df.select(*target_cols), partitions).write.mode("overwrite").insertInto(table_name)
 
 
 def overwrite_partitions_at(df: DataFrame, path: str, partition_by: list[str],
-                            fmt: str = "parquet") -> None:
+                            fmt: str = "parquet", partitions: int | None = None) -> None:
     """Dynamic partition overwrite of a path-based dataset."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_dealt(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).format(fmt).save(path))
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
     """CSV with a header.  Array/struct columns are rendered as text first,
-    because the CSV sink rejects them.  ``single_file`` funnels the result
-    through one task: use it only for small, aggregated results."""
+    because the CSV sink rejects them.  ``partitions=1`` gives one file and
+    funnels the result through one task: for small, aggregated results."""
     from pyspark.sql.types import ArrayType, MapType, StructType
     cols = [F.col(f.name).cast("string").alias(f.name)
             if isinstance(f.dataType, (ArrayType, MapType, StructType)) else F.col(f.name)
             for f in df.schema.fields]
-    out = df.select(*cols)
-    if single_file:
-        out = out.coalesce(1)
-    out.write.mode(mode).option("header", True).csv(path)
+    _dealt(df.select(*cols), partitions).write.mode(mode).option("header", True).csv(path)
 
 
 def append_to(df: DataFrame, path: str | None = None, table_name: str | None = None,
-              fmt: str = "parquet") -> None:
+              fmt: str = "parquet", partitions: int | None = None) -> None:
     """Append a result to a collection (path) or a catalog table."""
+    df = _dealt(df, partitions)
     if table_name is not None:
         df.write.mode("append").format(fmt).saveAsTable(table_name)
     else:
@@ -72,10 +80,12 @@ def insert_by_name(df: DataFrame, table_name: str) -> None:
     """Insert matching columns by name; target columns missing from ``df``
     (e.g. a field that was null and left out) become null."""
     spark = df.sparkSession
-    view = f"_strata_insert_{abs(hash(table_name))}"
-    df.createOrReplaceTempView(view)
-    spark.sql(f"INSERT INTO {table_name} BY NAME SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
+    view = f"_strata_insert_{uuid.uuid4().hex}"
+    df.createTempView(view)
+    try:
+        spark.sql(f"INSERT INTO {table_name} BY NAME SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def row_count(df: DataFrame, name: str = "n") -> DataFrame:

@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
-    from strata.session import PLAN_CONF, ensure_checkpoint_dir
+    from strata.session import PLAN_CONF
 
     warehouse = tempfile.mkdtemp(prefix="strata-wh-")
     builder = (SparkSession.builder.master("local[4]").appName("strata-tests")
@@ -24,7 +24,6 @@ def spark():
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(session)
     yield session
     session.stop()
 

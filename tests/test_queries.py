@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans import registry
 from strata.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
