@@ -55,15 +55,16 @@ def overwrite_partitions_at(df: DataFrame, path: str, partition_by: list[str],
      .partitionBy(*partition_by).format(fmt).save(path))
 
 
-def write_csv(df: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite",
+              partitions: int | None = None) -> None:
     """CSV with a header.  Array/struct columns are rendered as text first,
-    because the CSV sink rejects them.  ``partitions=1`` gives one file and
-    funnels the result through one task: for small, aggregated results."""
+    because the CSV sink rejects them.  ``single_file`` funnels the result
+    through one task: use it only for small, aggregated results."""
     from pyspark.sql.types import ArrayType, MapType, StructType
     cols = [F.col(f.name).cast("string").alias(f.name)
             if isinstance(f.dataType, (ArrayType, MapType, StructType)) else F.col(f.name)
             for f in df.schema.fields]
-    _dealt(df.select(*cols), partitions).write.mode(mode).option("header", True).csv(path)
+    _dealt(df.select(*cols), 1 if single_file else partitions).write.mode(mode).option("header", True).csv(path)
 
 
 def append_to(df: DataFrame, path: str | None = None, table_name: str | None = None,

@@ -33,6 +33,11 @@ def test_date_from_parts(spark):
     assert out == [dt.date(2016, 5, 3), dt.date(2017, 12, 31)]
 
 
+def test_date_from_missing_parts(spark):
+    df = spark.createDataFrame([(2016, None, 3), (None, "May", 3), (2016, "May", None), (2016, "May", 40), (2016, "Mai", 3)], "y int, m string, d int")
+    assert [r[0] for r in df.select(date_from_parts("y", "m", "d")).collect()] == [None] * 5
+
+
 def test_date_key(spark):
     assert _col(spark, ["2020-11-02", None, "bad-date"], date_key) == [20201102, None, None]
 

@@ -61,6 +61,47 @@ def test_overlap_join_matches_brute_force_with_hot_key(spark):
         assert _pairs(out.select("lid", "rid")) == _brute(left, right)
 
 
+def test_any_last_bin_gives_the_same_pairs(spark):
+    left = spark.createDataFrame([(1, D(2020, 1, 1), D(2021, 12, 31))], "k int, ls date, le date")
+    right = spark.createDataFrame([(1, D(2021, 6, 1), D(2021, 7, 1)), (1, D(2022, 1, 1), D(9999, 12, 31))], "k int, rs date, re date")
+    for day in (None, "1970-01-01", "2020-06-30", "2021-06-15", "2100-01-01"):
+        out = overlap_join(left, right, ["k"], "ls", "le", "rs", "re", bins_until=day)
+        assert [r.rs for r in out.collect()] == [D(2021, 6, 1)]
+    none = overlap_join(left, right.limit(0), ["k"], "ls", "le", "rs", "re")
+    assert none.collect() == []
+
+
+def test_hot_key_and_bin_is_split(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") < 100_000, 0).otherwise(F.col("id") % 50)
+        day = F.to_date(F.lit("2020-01-01"))
+        left = spark.range(0, 110_000, 1, 8).select(hot.alias("k"), F.col("id").alias("l"), day.alias("ls"), F.date_add(day, 3).alias("le"))
+        right = spark.range(50).select(F.col("id").alias("k"), day.alias("rs"), day.alias("re"))
+        out = overlap_join(left, right, ["k"], "ls", "le", "rs", "re")
+        done = out.agg(F.count("*").alias("n"), F.sum(F.xxhash64("l") % 1000).alias("s"))
+        assert done.collect()[0].n == 110_000
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_close_segments_with_null_key_and_a_century_of_days(spark):
+    rows = spark.createDataFrame([(None, D(2019, 12, 1)), (None, D(2020, 3, 1))], "k int, start_date date")
+    got = close_segments(rows, ["k"], "start_date").orderBy("start_date").collect()
+    assert [tuple(r) for r in got] == [(None, D(2019, 12, 1), D(2020, 2, 29)), (None, D(2020, 3, 1), D(9999, 12, 30))]
+    days = spark.range(30_000).select(F.lit(1).alias("k"), F.date_add(F.to_date(F.lit("1930-01-01")), F.col("id").cast("int")).alias("start_date"))
+    out = close_segments(days, ["k"], "start_date")
+    assert out.where("end_date = start_date").count() == 29_999
+
+
 def test_keep_latest_ties_are_deterministic(spark):
     rows = [(1, D(2020, 1, 1), D(2020, 1, 31), "b"), (1, D(2020, 1, 1), D(2020, 1, 31), "c"),
             (1, D(2020, 1, 1), D(2020, 1, 15), "z"), (2, D(2020, 1, 1), D(2020, 1, 2), None),
@@ -87,7 +128,7 @@ def test_close_segments_random_vs_python(spark):
         rows.add((k, D(2000, 1, 1) + dt.timedelta(days=rng.randrange(0, 8000))))
     rows = sorted(rows)
     df = spark.createDataFrame(rows, "k int, start_date date").withColumn("end_date", F.lit(None).cast("date"))
-    got = sorted(tuple(r) for r in close_segments(df, ["k"], "start_date", checkpoint=False).collect())
+    got = sorted(tuple(r) for r in close_segments(df, ["k"], "start_date").collect())
     want = []
     for i, (k, s) in enumerate(rows):
         nxt = rows[i + 1][1] if i + 1 < len(rows) and rows[i + 1][0] == k else D(9999, 12, 31)

@@ -49,6 +49,7 @@ def test_flatten_flight_null_objects(spark, tmpdir_path):
     assert all(getattr(bare, c) == "" for c in FLIGHT_COLUMNS[11:])
     strict = flatten_flight(explode_records(docs, "data", "data"), "data", none_as_text=True)
     assert {r.ARRGATE for r in strict.collect()} == {"None"}
+    assert {r.ISGROUND for r in strict.collect()} == {"False", ""}
 
 
 def test_partition_key_and_dynamic_overwrite(spark, tmpdir_path):

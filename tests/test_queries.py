@@ -76,3 +76,22 @@ def test_histogram_and_share_invariants(spark):
     assert sum(r.n for r in h) == n
     s = QUERIES["country_share"](spark, SF).collect()
     assert math.isclose(sum(r.share for r in s), 1.0)
+
+
+def test_building_a_query_starts_no_job(spark, monkeypatch):
+    """Over tables whose footers are read already; ``density_grid`` alone runs its statistics job."""
+    known = {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in DRIVER_TABLES}
+    monkeypatch.setattr("strata.plans.tables.table", lambda _, __, name: known[name])
+    started = {}
+    for name in sorted(QUERIES):
+        spark.sparkContext.setJobGroup(f"building {name}", "plans")
+        QUERIES[name](spark, SF)
+        started[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {n for n, jobs in started.items() if jobs} == {"density_grid"}
+
+
+def test_queries_leave_no_views(spark):
+    for name in ("sql_having", "max_revenue_rows"):
+        QUERIES[name](spark, SF).collect()
+    assert [t.name for t in spark.catalog.listTables() if t.isTemporary] == []

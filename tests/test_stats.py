@@ -48,6 +48,50 @@ def test_box_stats_weighted_equals_rows(spark):
     assert a == b
 
 
+def test_exact_quartiles_against_numpy(spark):
+    import random
+
+    import numpy as np
+    rng = random.Random(11)
+    groups = {"uniform": [rng.random() * 1e5 for _ in range(3001)], "skewed": [rng.lognormvariate(0, 4) for _ in range(2000)],
+              "one": [5.0], "two": [1.0, 9.0], "same": [3.5] * 500, "tight": [1e9 + i * 1e-6 for i in range(300)] + [0.0],
+              "ties": [float(rng.randrange(4)) for _ in range(1000)], "signed": [rng.gauss(0, 1) for _ in range(777)]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("none", None)], "g string, v double")
+    got = {r.g: r for r in stats.box_stats(df, "v", by=["g"]).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        r = got[g]
+        assert (r.n, r.min, r.max) == (len(vs), min(vs), max(vs))
+        for have, want in zip((r.q1, r.median, r.q3), np.quantile(vs, [0.25, 0.5, 0.75])):
+            assert math.isclose(have, want, rel_tol=1e-12), g
+
+
+def test_box_plan_has_no_whole_group_percentile(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    plan = stats.box_stats(df, "v", by=["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan
+
+
+def test_share_of_nothing(spark):
+    empty = spark.createDataFrame([], "k string, n bigint")
+    assert stats.with_share(empty).collect() == []
+    zero = spark.createDataFrame([("a", 0), ("b", None)], "k string, n bigint")
+    assert [r.share for r in stats.with_share(zero).collect()] == [None, None]
+
+
+def test_histogram_without_values(spark):
+    h = stats.histogram(spark.createDataFrame([(None,)], "v double"), "v", bins=4).collect()
+    assert len(h) == 4 and {(r.bin_lo, r.bin_hi, r.n) for r in h} == {(0.0, 0.0, 0)}
+
+
+def test_bounded_positions(spark):
+    df = spark.range(5)
+    assert rows_at_positions(df, [4, 7], ["id"]).collect()[0].id == 4
+    for bad in ([-1], [10**7]):
+        with pytest.raises(ValueError):
+            rows_at_positions(df, bad, ["id"])
+
+
 def test_density(spark):
     const = spark.createDataFrame([(1.0,), (1.0,)], "v double")
     with pytest.raises(ValueError):
