@@ -98,6 +98,7 @@ def mix(docs: DataFrame, topic: Column | None = None, power: dict[str, float] =
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), value(source).alias("source"), value(lang).alias("lang"),
                        (topic_of(body) if topic is None else topic).alias("topic"), token_count(body).alias("tokens"),
                        draw(docs[f"`{doc_id}`"], seed).alias("draw"))
+    rows = stored(rows, "mixed-rows")  # topics and words are found once
     cells = stored(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")), "cells")
     fitted = probabilities(rake(cells, {d: tempered(cells, d, power[d]) for d in DIMS}))
     found = rows.join(fitted.select(*DIMS, "prob"), list(DIMS))
