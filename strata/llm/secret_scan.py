@@ -28,7 +28,7 @@ class Rule:
     pattern: str
     #: Literals of which every match holds one, whatever the letters' case; none: scan all texts.
     words: tuple[str, ...] = ()
-    #: Fewest characters of the whole match, or of group ``group``.
+    #: Matches whose group ``group`` has fewer characters are dropped after they are found.
     least: int = 0
     group: int = 0
 
@@ -37,8 +37,9 @@ class Rule:
 RULES = (
     Rule("assign", r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
          ("password", "passwd", "secret", "token", "api_key", "apikey"), 12, 1),
-    Rule("access", r"AKIA[A-Z0-9]+", ("akia",), 18),
-    Rule("hex", r"[0-9a-f]+", (), 16),
+    # a run of these classes is maximal, so asking for the length in the pattern drops the same matches
+    Rule("access", r"AKIA[A-Z0-9]{14,}", ("akia",)),
+    Rule("hex", r"[0-9a-f]{16,}"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}", ("aiza",)),
@@ -126,8 +127,7 @@ def scan(docs: DataFrame, rules=RULES, doc_id: str = "doc_id", text: str = "text
         rows = rows.withColumn("rules", F.lit(None).cast("array<int>"))
     by_rule = []
     for k, rule in enumerate(rules):
-        # a scan of all texts first looks whether anything can be long enough
-        asks = F.array_contains("rules", k) if k in indexed else F.col("text").rlike(_any(rule))
+        asks = F.array_contains("rules", k) if k in indexed else F.col("text").rlike(rule.pattern)
         spans = F.when(F.coalesce(asks, F.lit(False)), matches(F.col("text"), rule)).otherwise(F.array().cast(_SPANS))
         by_rule.append(_named(spans, k, rule.kind))
     return rows.select(*[F.col("row").getField(c).alias(c) for c in names], F.sort_array(F.concat(*by_rule)).alias("secrets"))
@@ -138,11 +138,6 @@ def _named(spans: Column, number: int, kind: str) -> Column:
         x["start"].alias("start"), F.lit(number).alias("number"), x["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
-def _any(rule: Rule) -> str:
-    one = rule.pattern
-    return f"{one[:-1]}{{{rule.least},}}" if one.endswith("]+") and rule.least and not rule.group else one
-
-
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of all spans, joined by commas."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
