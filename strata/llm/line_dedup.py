@@ -107,6 +107,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "do
     place = F.struct(F.col("id").isNull().alias("null"), "id", *_DOC, "i")
     named = stored(named.select(*_DOC, "i", "m", "r1", "r2", place.alias("place")), "intervals")
     first = named.groupBy("m", "r1", "r2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = stored(first, "first-copies")  # a join of two tables can be split at a hot interval, one with an aggregate can't
     later = named.join(first, ["m", "r1", "r2"]).where("place > first")
     gone = later.select(*_DOC, F.explode(F.sequence("i", F.expr("i + m - 1"))).alias("i")).distinct()
 
@@ -127,7 +128,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_
     """
     runs = repeated_runs(docs, min_words, doc_id, text)
     k1, k2 = _keys(docs[f"`{doc_id}`"], docs[f"`{text}`"])
-    names = [c for c in docs.columns if c != "n_removed"]
+    names = [c for c in docs.columns if c.lower() != "n_removed"]
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), k1, k2).join(runs, _DOC, "left")
     old = F.col("row").getField(text)
     kept = F.filter(_split(old), lambda x, p: ~F.exists("runs", lambda r: (p >= r["from"]) & (p < r["to"])))
