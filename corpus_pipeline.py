@@ -15,18 +15,30 @@ from strata.llm.store import shared_dir
 MIN_LANG_SCORE = 0.3
 
 
+def boxed(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that an operator uses, and all others in one: their names can't clash with its own."""
+    return docs.select(*used, F.struct(F.lit(1).alias("_"), *[docs[f"`{c}`"] for c in docs.columns if c not in used]).alias("others"))
+
+
+def unboxed(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """Rows with the columns of ``docs`` in their order."""
+    return rows.select(*[(F.col(c) if c in used else F.col("others").getField(c)).alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identifiable language go; a missing ``lang`` becomes the identified one."""
-    found = langid.identify(docs, langid.fit(docs)).where((F.col("lang_pred") != langid.UND) & (F.col("lang_score") >= MIN_LANG_SCORE))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    found = langid.identify(boxed(docs, "text", "lang"), langid.fit(docs))
+    found = found.where((F.col("lang_pred") != langid.UND) & (F.col("lang_score") >= MIN_LANG_SCORE))
+    return unboxed(found.withColumn("lang", F.coalesce("lang", "lang_pred")), docs, "text", "lang")
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go; a document of which no word is left goes with them."""
-    found = line_dedup.dedup_lines(docs, min_words=50)
+    used = ("doc_id", "text", "n_chars")
+    found = line_dedup.dedup_lines(boxed(docs, *used), min_words=50)
     found = found.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return found.withColumn("n_chars", chars).select(*docs.columns)
+    return unboxed(found.withColumn("n_chars", chars), docs, *used)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +48,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are sampled to the target weights of source, language and topic."""
-    return mixing.mix(docs).where("mix_kept").select(*docs.columns)
+    used = ("doc_id", "text", "source", "lang")
+    return unboxed(mixing.mix(boxed(docs, *used)).where("mix_kept"), docs, *used)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,7 +92,7 @@ def mix(docs: DataFrame, topic: Column | None = None, power: dict[str, float] =
     summed on the map side, so a source that holds a third of all rows is one row as well.
     """
     new = ["mix_topic", "mix_tokens", "mix_prob", "mix_kept"]
-    names = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
     body = docs[f"`{text}`"]
     value = lambda c: F.coalesce(docs[f"`{c}`"].cast("string"), F.lit(MISSING))
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), value(source).alias("source"), value(lang).alias("lang"),

@@ -115,7 +115,7 @@ def scan(docs: DataFrame, rules=RULES, doc_id: str = "doc_id", text: str = "text
     A null text is empty and has none.  Every row is judged by its whole text; repeated rows get equal
     results.  A kept column named ``secrets`` is replaced, others may have any name.
     """
-    names = [c for c in (docs.columns if keep is None else keep) if c != "secrets"]
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() != "secrets"]
     k1, k2 = keys(docs[f"`{doc_id}`"], docs[f"`{text}`"])
     body = F.coalesce(docs[f"`{text}`"], F.lit(""))
     rows = docs.select(F.struct(F.lit(1).alias("_"), *[docs[f"`{c}`"] for c in names]).alias("row"), body.alias("text"), k1, k2)

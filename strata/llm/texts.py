@@ -47,9 +47,9 @@ def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
 
 def map_texts(docs: DataFrame, work: Callable, fields: list[T.StructField], text: str, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of ``docs`` and, beside them, what ``work(buf, offs)`` returns as arrays
-    for ``fields``.  A kept column with the name of a new field is replaced by it."""
+    for ``fields``.  A kept column with the name of a new field (all in lower case) is replaced by it."""
     new = {f.name for f in fields}
-    keep = [c for c in keep if c not in new]
+    keep = [c for c in keep if c.lower() not in new]
     own = "_text"
     while own in keep:
         own = f"_{own}"

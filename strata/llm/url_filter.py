@@ -101,7 +101,7 @@ def filter_urls(pages: DataFrame, good: Column | None = None, rules=RULES, url:
     rows count as often as they stand.  Kept columns with the name of a new one are replaced.
     """
     new = ["host", "path", "rule", "verdict", "template", "purity"]
-    names = [c for c in (pages.columns if keep is None else keep) if c not in new]
+    names = [c for c in (pages.columns if keep is None else keep) if c.lower() not in new]
     host, path = parts(pages[f"`{url}`"].cast("string"))
     label = F.lit(None).cast("int") if good is None else good.cast("int")
     rows = pages.select(F.struct(F.lit(1).alias("_"), *[pages[f"`{c}`"] for c in names]).alias("row"), host.alias("host"),

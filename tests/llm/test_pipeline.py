@@ -1,4 +1,6 @@
 import corpus_pipeline as pipeline
+from pyspark.sql import functions as F
+
 from test_line_dedup import WORD, brute
 from test_near_dedup import fingerprint, groups
 from test_packing import check, tokenizer  # noqa: F401
@@ -45,6 +47,17 @@ def test_near_copies_of_edge_rows(spark, edge, edge_rows):
     assert got.count() == len(set(groups(ids, [fingerprint(r[1]) for r in edge_rows], 2)))
 
 
+def test_extra_columns_stay_whatever_their_names(spark, documents):
+    names = ["lang_pred", "Lang_Score", "n_removed", "mix_kept", "Mix_Topic", "others", "row", "k1", "fp", "runs", "group", "rules", "_text", "tokens"]
+    docs = documents.limit(40).withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    for _, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes
+        kept = got.collect()
+        assert kept and all(r[c] == f"{c}{r.doc_id}" for r in kept for c in names)
+    assert stage is not pipeline.STAGES[-1][1] and pipeline.STAGES[-1][1](spark, docs, SF).count() >= 40
+
+
 def test_run(spark, tokenizer):  # noqa: F811
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in pipeline.STAGES[:-1]:
