@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.oracle import ORACLE  # noqa: F401
+from strata.llm.store import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,11 +37,11 @@ def page_labels(pages: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFra
         title = F.replace(title, F.lit(code), F.lit(char))
     known = docs.select("doc_id", plain(F.substring("text", 1, 4 * TITLE)).alias("start")).join(labels.where("quality IS NOT NULL"), "doc_id")
     known = known.where(F.length("start") == TITLE).groupBy("start").agg((F.avg("quality") >= 0.5).cast("int").alias("good"))
+    known = stored(known, "known-titles")  # a join with a table can be split at a hot title
     return pages.select("page_id", "url", plain(title).alias("start")).join(known, "start", "left").select("page_id", "url", "good")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strata.llm.store import stored
     from strata.llm.url_filter import filter_urls
 
     pages, docs, labels = (_table(spark, sf_dir, t) for t in ("pages", "documents", "labels"))
@@ -64,7 +65,6 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near``: of each searched document (id divisible by 100), the other documents within 3 bits."""
     from strata.llm.simhash import edit_stability, near_counts
-    from strata.llm.store import stored
 
     made = stored(edit_stability(_table(spark, sf_dir, "documents").select("doc_id", "text")), "fingerprints")
     asked = made.where("doc_id % 100 = 0").select("fp").distinct()
