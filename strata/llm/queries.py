@@ -68,7 +68,7 @@ def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     made = stored(edit_stability(_table(spark, sf_dir, "documents").select("doc_id", "text")), "fingerprints")
     asked = made.where("doc_id % 100 = 0").select("fp").distinct()
-    near = near_counts(asked, made.groupBy("fp").agg(F.count("*").alias("n")), radius=3)
+    near = stored(near_counts(asked, made.groupBy("fp").agg(F.count("*").alias("n")), radius=3), "near-counts")
     found = made.join(near, "fp", "left")
     code = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
     return found.select("doc_id", "n_chars", "edited_sha256", code("fp").alias("fingerprint"),
