@@ -237,9 +237,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
         both = both.select("e.*")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
+        # joins with tables, not with aggregates, can be split at a vertex of very many links
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")), "lowest")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
+        large = stored(large, "large-stars")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("low")), "lowest")
         hung = large.join(low, "u")  # what a vertex hangs on, and the smallest of that
         small = hung.select(F.explode(F.array(F.struct("u", F.col("low").alias("v")), F.struct(F.col("v").alias("u"), F.col("low").alias("v")))).alias("e"))
         seen = Observation()
