@@ -32,8 +32,11 @@ from strata.llm import texts
 from strata.llm.store import stored
 
 LEAF, FAN = 128, 32
-#: Nodes that one task groups into the next level; fixed, so every level is much smaller than the last.
+#: Nodes that one task groups into the next level (fixed, so every level is much smaller than the
+#: last), and the most of a level that is broadcast: 4096 leaves of 128 longs are 4 MB.
 NODES_A_TASK = 4096
+#: Pairs of nodes that a task compares, where they are dealt out by number.
+PAIRS_A_TASK = 1 << 15
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -135,15 +138,18 @@ def _level(rows: DataFrame, order: str, size: int) -> DataFrame:
     return rows.sortWithinPartitions(order).select("node", "mask", "bits").mapInArrow(_group(size), _NODE)
 
 
-def build_index(fps: DataFrame, leaf: int = LEAF, fan: int = FAN) -> list[DataFrame]:
-    """Levels of the index over distinct longs ``fp``, leaves first; the last level has one node."""
+def build_index(fps: DataFrame, leaf: int = LEAF, fan: int = FAN) -> list[tuple[DataFrame, int]]:
+    """Levels of the index over distinct longs ``fp`` and their numbers of nodes, leaves first; the
+    last level has one node at most."""
     rows = fps.select(F.col("fp").alias("node"), F.lit(-1).cast("long").alias("mask"), F.col("fp").alias("bits"))
     ranked = rows.withColumn("rank", gray_rank(F.col("node"))).repartitionByRange("rank")
-    levels = [stored(_level(ranked, "rank", leaf), "gray-leaves")]
-    while (n := levels[-1].count()) > 1:
-        nodes, tasks = levels[-1].select("node", "mask", "bits"), -(-n // NODES_A_TASK)
+    level = stored(_level(ranked, "rank", leaf), "gray-leaves")
+    levels = [(level, level.count())]
+    while levels[-1][1] > 1:
+        nodes, tasks = level.select("node", "mask", "bits"), -(-levels[-1][1] // NODES_A_TASK)
         nodes = nodes.coalesce(1) if tasks == 1 else nodes.repartitionByRange(tasks, "node")
-        levels.append(stored(_level(nodes, "node", fan), "gray-nodes"))
+        level = stored(_level(nodes, "node", fan), "gray-nodes")
+        levels.append((level, level.count()))
     return levels
 
 
@@ -208,22 +214,26 @@ def _compare(radius: int):
     return run
 
 
-def _with_nodes(pairs: DataFrame, level: DataFrame, names: list[str]) -> DataFrame:
+def _with_nodes(pairs: DataFrame, level: DataFrame, n: int, names: list[str]) -> DataFrame:
+    """Pairs with both nodes' lists.  ``NODES_A_TASK`` nodes take a few MB and are broadcast, to pairs
+    dealt out evenly; beyond that neither side is, however well the pairs' file compresses."""
+    if n <= NODES_A_TASK:
+        pairs = pairs.repartition(-(-pairs.count() // PAIRS_A_TASK) or 1, "a", "b")
     for side in ("a", "b"):
-        level_side = level.select(F.col("node").alias(side), *[F.col(n).alias(f"{n}_{side}") for n in names])
-        pairs = pairs.join(level_side, side)
-    return pairs.select("a", "b", *[f"{n}_{side}" for side in "ab" for n in names])
+        level_side = level.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in names])
+        pairs = pairs.join(F.broadcast(level_side) if n <= NODES_A_TASK else level_side.hint("merge"), side)
+    return pairs.select("a", "b", *[f"{c}_{side}" for side in "ab" for c in names])
 
 
 def links(fps: DataFrame, radius: int = 2, leaf: int = LEAF, fan: int = FAN) -> DataFrame:
     """Links (u, v) that connect all fingerprints at ``radius`` or fewer differing bits, as spanning
     forests; ``fps`` has distinct longs ``fp``."""
     levels = build_index(fps, leaf, fan)
-    pairs = levels[-1].select(F.col("node").alias("a"), F.col("node").alias("b"))
-    for level in reversed(levels[1:]):
-        wide = _with_nodes(pairs, level, ["kids", "masks", "patterns"])
+    pairs = levels[-1][0].select(F.col("node").alias("a"), F.col("node").alias("b"))
+    for level, n in reversed(levels[1:]):
+        wide = _with_nodes(pairs, level, n, ["kids", "masks", "patterns"])
         pairs = stored(wide.mapInArrow(_descend(radius), "a long, b long"), "gray-pairs")
-    return stored(_with_nodes(pairs, levels[0], ["kids"]).mapInArrow(_compare(radius), "u long, v long"), "links")
+    return stored(_with_nodes(pairs, *levels[0], ["kids"]).mapInArrow(_compare(radius), "u long, v long"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
