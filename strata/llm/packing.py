@@ -31,7 +31,7 @@ WIDTH = 1024
 #: Costs in padded tokens: a cut after a sentence, a cut inside one, and each sequence.
 SENTENCE, FORCED, SEQUENCE = 4, 64, 2
 #: Texts are tokenized and cut in runs of about so many bytes; a run ends with a document.
-RUN_BYTES = 1 << 23
+RUN_BYTES = 1 << 21
 END_ID = 0
 
 _STOP = np.zeros(256, bool)
