@@ -94,15 +94,16 @@ RANGES = 1000
 _PROBS = ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
 
 
-def _located(parts: DataFrame, wanted: DataFrame, by: list[str], part: str) -> DataFrame:
-    """Of each wanted rank ``k`` (from 0) of a group, the part that holds it; ``k`` becomes its rank there.
+def _located(parts: DataFrame, keys: list[str], part: str) -> DataFrame:
+    """Of the wanted ranks, the part that holds each: (keys, part, _ranks).
 
-    ``parts`` has (by, part, c), ``c`` values each; a group has ``RANGES`` parts at most, so the
-    window that counts up is bounded and the join stays at that many rows a group."""
-    w = Window.partitionBy(*by).orderBy(part)
-    upto = parts.withColumn("_upto", F.sum("_c").over(w))
-    found = wanted.join(upto, by).where((F.col("_k") < F.col("_upto")) & (F.col("_k") >= F.col("_upto") - F.col("_c")))
-    return found.withColumn("_k", F.col("_k") - (F.col("_upto") - F.col("_c"))).drop("_upto", "_c")
+    ``parts`` has (keys, part, _c, _ranks), ``_c`` values each and the ranks wanted of its ``keys``
+    as (_rank, _k), ``_k`` counted from 0 among the keys' values and then among the part's."""
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(part))
+    rows = parts.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
+    here = F.filter("_ranks", lambda r: (r["_k"] >= F.col("_before")) & (r["_k"] < F.col("_upto")))
+    inner = F.transform(here, lambda r: F.struct(r["_rank"].alias("_rank"), (r["_k"] - F.col("_before")).alias("_k")))
+    return rows.select(*keys, part, inner.alias("_ranks")).where(F.size("_ranks") > 0)
 
 
 def quartiles(pairs: DataFrame, by: list[str]) -> DataFrame:
@@ -113,27 +114,26 @@ def quartiles(pairs: DataFrame, by: list[str]) -> DataFrame:
     range is put in order.  No task sees all values of a group."""
     span = pairs.groupBy(*by).agg(F.sum("_c").cast("bigint").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"))
     ranks = [(F.col("n") - 1) * F.lit(p) for p, _ in _PROBS]
-    wanted = span.select(*by, F.explode(F.array_distinct(F.flatten(F.array(
-        *[F.array(F.floor(r), F.ceil(r)) for r in ranks])))).alias("_rank")).withColumn("_k", F.col("_rank"))
+    wanted = F.transform(F.array_distinct(F.flatten(F.array(*[F.array(F.floor(r), F.ceil(r)) for r in ranks]))),
+                         lambda r: F.struct(r.alias("_rank"), r.alias("_k")))
     at = F.coalesce((F.col("_v") - F.col("min")) / F.nullif(F.col("max") - F.col("min"), F.lit(0.0)), F.lit(0.0)) * RANGES
     first = F.least(F.floor(at), F.lit(RANGES - 1))
     second = F.greatest(F.lit(0), F.least(F.floor((at - first) * RANGES), F.lit(RANGES - 1)))
-    placed = pairs.join(span.drop("n"), by).select(*by, "_v", "_c", first.alias("_r1"), second.alias("_r2"))
-
-    def counted(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*by, *keys).agg(F.sum("_c").alias("_c"))
-
-    one = _located(counted(placed, "_r1"), wanted, by, "_r1")
-    near = placed.join(one.select(*by, "_r1").distinct(), [*by, "_r1"], "left_semi")
-    two = _located(counted(near, "_r1", "_r2"), one, [*by, "_r1"], "_r2")
-    small = near.join(two.select(*by, "_r1", "_r2").distinct(), [*by, "_r1", "_r2"], "left_semi")
-    value = _located(small, two, [*by, "_r1", "_r2"], "_v")
-    have = value.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
-    out = span.join(have, by)
+    placed = pairs.join(span, by).select(*by, "n", "min", "max", "_v", "_c", first.alias("_r1"), second.alias("_r2"))
+    own = [*by, "n", "min", "max"]  # a group's size and span go along
+
+    one = placed.groupBy(*own, "_r1").agg(F.sum("_c").alias("_c")).withColumn("_ranks", wanted)
+    one = _located(one, own, "_r1").select(*by, "_r1", "_ranks")
+    near = placed.join(one, [*by, "_r1"])
+    two = near.groupBy(*by, "_r1", "_r2", "_ranks").agg(F.sum("_c").alias("_c"))
+    two = _located(two, [*by, "_r1"], "_r2")
+    small = near.drop("_ranks").join(two, [*by, "_r1", "_r2"])
+    value = _located(small, [*own, "_r1", "_r2"], "_v").select(*own, "_v", F.explode("_ranks._rank").alias("_rank"))
+    have = value.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
     at_rank = lambda r: F.element_at("_at", r)
     quarts = [(at_rank(F.floor(r)) + (at_rank(F.ceil(r)) - at_rank(F.floor(r))) * (r - F.floor(r))).alias(name)
               for r, (_, name) in zip(ranks, _PROBS)]
-    return out.select(*by, "n", "min", "max", *quarts)
+    return have.select(*own, *quarts)
 
 
 def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
@@ -173,14 +173,11 @@ def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
     # key (AQE broadcasts it when small; a shuffle join otherwise).
     joined = pairs.join(quart, by, "inner")
     inside = (F.col("_v") >= lo_fence) & (F.col("_v") <= hi_fence)
-    whiskers = joined.groupBy(*by).agg(
+    out = joined.groupBy(*by, "n", "min", "q1", "median", "q3", "max", "iqr").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
         F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_outliers"))
-    out = quart.join(whiskers, by, "inner")
-    keys = by if grouped else []
-    return out.select(*keys, "n", "min", "q1", "median", "q3", "max", "iqr",
-                      "whisker_lo", "whisker_hi", "n_outliers")
+    return out if grouped else out.drop("_g")
 
 
 # --------------------------------------------------------------------------- density
