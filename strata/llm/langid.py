@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,10 +152,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), train_docs / F.count("*")).alias("share"))
     drawn = rows.join(F.broadcast(share), "lang").where("draw < share * 1000000").select("text", "lang")
     counted = drawn.mapInArrow(texts.tidy(_counts("text", "lang")), "lang string, bucket long, n long")
-    found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(found["lang"].unique())
+    found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    langs = sorted(found["lang"].unique().to_pylist())
     raw = np.zeros((BUCKETS + SCRIPTS, len(langs)))
-    raw[found["bucket"].to_numpy(), np.searchsorted(langs, found["lang"])] = found["n"]
+    for k, name in enumerate(langs):
+        own = found.filter(pc.equal(found["lang"], name))
+        raw[own["bucket"].to_numpy(), k] = own["n"].to_numpy()
     if not langs:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((SCRIPTS, 0), bool))
     grams, script = raw[:BUCKETS] + 0.5, raw[BUCKETS:]
