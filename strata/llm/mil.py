@@ -161,8 +161,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     given = given.where(few).groupBy(F.col(f"`{doc_id}`").alias("id")).agg((F.avg(F.col(f"`{label}`")) >= 0.5).cast("long").alias("label"))
     rows = docs.where(few).select(F.col(f"`{doc_id}`").alias("id"), draw.alias("draw"), F.col(f"`{text}`").alias("text"))
     bags = rows.join(given, "id").select("draw", "label", "text").mapInArrow(texts.tidy(_bags), "draw long, label long, bag binary")
-    found = sorted(bags.collect(), key=lambda r: (r.draw, bytes(r.bag)))
-    return train([np.frombuffer(r.bag, np.float32).reshape(-1, N_FEATURES) for r in found], np.array([r.label for r in found]))
+    found = bags.toArrow()
+    rows = sorted(zip(found["draw"].to_pylist(), found["bag"].to_pylist(), found["label"].to_pylist()))
+    return train([np.frombuffer(bag, np.float32).reshape(-1, N_FEATURES) for _, bag, _ in rows], np.array([y for *_, y in rows]))
 
 
 FIELDS = [T.StructField("quality_score", T.DoubleType(), False), T.StructField("n_passages", T.LongType(), False),
