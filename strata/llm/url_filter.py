@@ -4,8 +4,9 @@
    shape fold into one row of counts, on the map side, so a host that holds a third of all pages is a
    few rows from here on.
 2. Level by level, from the host down: where a branch fans out into many segments that hardly
-   repeat, they are variable and become ``*``.  Of the others, those whose labelled purity does not
-   differ from their siblings' (two-proportion z test) merge into ``~``; the rest stay themselves.
+   repeat, these are variable and become ``*``, while a sibling that repeats does not join them.  Of
+   the others, those whose labelled purity does not differ from their siblings' (two-proportion z
+   test) merge into ``~``; the rest stay themselves.
 3. A template's purity is its share of good labels, smoothed towards its host's, and that towards the
    corpus'.  Templates below ``MIN_PURITY`` are blocked.
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from strata.llm.store import stored
 
 DEPTH = 6
-#: More distinct segments than this under a branch, on average less often than this: variable.
+#: More distinct segments than this under a branch, each of them less often than this: variable.
 FAN, REPEATS = 8, 4
 Z = 1.96
 #: Labels that the smoothing towards the parent counts for, and the least purity that is allowed.
@@ -67,9 +68,11 @@ def templates(pages: DataFrame) -> DataFrame:
     for d in range(deepest):
         own = tree.withColumn("s", F.get("shape", F.lit(d)))
         branch = own.where("s IS NOT NULL").groupBy("host", "template", "s").agg(*sums)
-        fork = branch.groupBy("host", "template").agg(F.count(F.lit(1)).alias("fan"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "l", "g")])
+        rare = F.col("n") < REPEATS
+        fork = branch.groupBy("host", "template").agg(F.count(F.lit(1)).alias("fan"), F.sum(rare.cast("long")).alias("n_rare"),
+                                                      *[F.sum(c).alias(f"all_{c}") for c in ("l", "g")])
         branch = branch.join(fork, ["host", "template"])
-        variable = (F.col("fan") > FAN) & (F.col("all_n") < REPEATS * F.col("fan"))
+        variable = rare & (F.col("n_rare") > FAN)
         new = F.when(variable, "*").when((F.col("fan") > 1) & _similar(), "~").otherwise(F.col("s"))
         named = branch.select("host", "template", "s", new.alias("new"))
         tree = own.join(named, ["host", "template", "s"], "left")

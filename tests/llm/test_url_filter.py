@@ -65,5 +65,18 @@ def test_tree_blocks_impure_branch_and_merges_alike_ones(spark):
     assert {r.verdict for r in got if "/spam/" not in r.url} == {"allow"}
 
 
+def test_frequent_segment_is_not_pooled_with_one_offs(spark):
+    slug = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = [(i, f"https://site.com/{slug(i)}", 1) for i in range(1000)]
+    rows += [(1000 + i, f"https://site.com/casino?id={i}", 0) for i in range(500)]
+    rows += [(2000 + i, f"https://site.com/about?id={i}", 1) for i in range(500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, good int")
+    got = url_filter.filter_urls(pages, pages["good"]).collect()
+    bad = {(r.template, r.verdict) for r in got if r.path == "/casino"}
+    assert bad == {("/casino", "block")}
+    assert {(r.template, r.verdict) for r in got if r.page_id < 1000} == {("/*", "allow")}
+    assert {r.verdict for r in got if r.path == "/about"} == {"allow"}
+
+
 def test_no_rows(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
