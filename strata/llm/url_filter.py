@@ -10,7 +10,8 @@
 3. A template's purity is its share of good labels, smoothed towards its host's, and that towards the
    corpus'.  Templates below ``MIN_PURITY`` are blocked.
 
-Paths deeper than ``DEPTH`` segments share the branch ``**`` there.
+Paths may be of any depth: a chain of segments without a fork is passed in one step, so there are as
+many rounds as real forks below one another.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 
 from strata.llm.store import stored
 
-DEPTH = 6
 #: More distinct segments than this under a branch, each of them less often than this: variable.
 FAN, REPEATS = 8, 4
 Z = 1.96
@@ -51,10 +51,25 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def shape_of(path: Column) -> Column:
-    """Segments below the host with digit runs as ``<n>``, ``DEPTH`` at most and then ``**``."""
+    """Segments below the host with digit runs as ``<n>``."""
     pieces = F.split(F.regexp_replace(path, "[0-9]+", "<n>"), "/", -1)
-    segments = F.slice(pieces, F.lit(2), F.greatest(F.lit(0), F.size(pieces) - 1))
-    return F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH), F.array(F.lit("**")))).otherwise(segments)
+    return F.slice(pieces, F.lit(2), F.greatest(F.lit(0), F.size(pieces) - 1))
+
+
+def _chains(tree: DataFrame) -> DataFrame:
+    """Rows that have gone on over the segments below their branch up to its first real fork.
+
+    Any longest row of a branch parts from some other row at the first fork, and from none before it; rows
+    that end on the way are no fork.  ``at`` counts the segments that are in the template.
+    """
+    own = tree.withColumn("rest", F.slice("shape", F.col("at") + 1, F.size("shape") - F.col("at")))
+    own = own.join(own.groupBy("host", "template").agg(F.max(F.struct(F.size("rest").alias("k"), "rest")).alias("longest")), ["host", "template"])
+    apart = F.array_position(F.zip_with("rest", "longest.rest", lambda a, b: a != b), True)  # 0 if nowhere; a row's end is null
+    own = own.withColumn("apart", F.when(apart > 0, apart - 1).cast("int")).drop("longest")
+    own = own.join(own.groupBy("host", "template").agg(F.min("apart").alias("fork")), ["host", "template"])
+    step = F.least(F.size("rest"), F.coalesce("fork", F.size("rest")))
+    grown = F.concat_ws("/", "template", F.when(step > 0, F.array_join(F.slice("rest", F.lit(1), step), "/")))
+    return own.select("host", "shape", "n", "l", "g", grown.alias("template"), (F.col("at") + step).alias("at"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -62,12 +77,15 @@ def templates(pages: DataFrame) -> DataFrame:
     seen = F.col("good").isNotNull().cast("long")
     tree = pages.groupBy("host", shape_of(F.col("path")).alias("shape")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(seen).alias("l"), F.coalesce(F.sum("good"), F.lit(0)).cast("long").alias("g"))
-    tree = stored(tree.withColumn("template", F.lit("")), "paths")
-    deepest = tree.agg(F.max(F.size("shape"))).first()[0] or 0
+    tree = stored(tree.withColumn("template", F.lit("")).withColumn("at", F.lit(0)), "paths")
     sums = [F.sum(c).alias(c) for c in ("n", "l", "g")]
-    for d in range(deepest):
-        own = tree.withColumn("s", F.get("shape", F.lit(d)))
-        branch = own.where("s IS NOT NULL").groupBy("host", "template", "s").agg(*sums)
+    more = F.col("at") < F.size("shape")
+    done = [tree.where(~more)]
+    while not (tree := tree.where(more)).isEmpty():
+        tree = stored(_chains(tree), "paths")
+        done.append(tree.where(~more))
+        own = tree.where(more).withColumn("s", F.get("shape", F.col("at")))
+        branch = own.groupBy("host", "template", "s").agg(*sums)
         rare = F.col("n") < REPEATS
         fork = branch.groupBy("host", "template").agg(F.count(F.lit(1)).alias("fan"), F.sum(rare.cast("long")).alias("n_rare"),
                                                       *[F.sum(c).alias(f"all_{c}") for c in ("l", "g")])
@@ -75,9 +93,11 @@ def templates(pages: DataFrame) -> DataFrame:
         variable = rare & (F.col("n_rare") > FAN)
         new = F.when(variable, "*").when((F.col("fan") > 1) & _similar(), "~").otherwise(F.col("s"))
         named = branch.select("host", "template", "s", new.alias("new"))
-        tree = own.join(named, ["host", "template", "s"], "left")
-        grown = F.when(F.col("new").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "new"))
-        tree = stored(tree.select("host", "shape", "n", "l", "g", grown.alias("template")), "paths")
+        tree = own.join(named, ["host", "template", "s"])
+        tree = stored(tree.select("host", "shape", "n", "l", "g", F.concat("template", F.lit("/"), "new").alias("template"),
+                                  (F.col("at") + 1).alias("at")), "paths")
+        done.append(tree.where(~more))
+    tree = stored(reduce(DataFrame.unionAll, done).drop("at"), "paths")
     by_template = tree.groupBy("host", "template").agg(F.sum("l").alias("l"), F.sum("g").alias("g"))
     by_host = tree.groupBy("host").agg(F.sum("l").alias("hl"), F.sum("g").alias("hg"))
     whole = tree.agg(F.coalesce(F.sum("g") / F.nullif(F.sum("l"), F.lit(0)), F.lit(1.0)))

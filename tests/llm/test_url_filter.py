@@ -78,5 +78,21 @@ def test_frequent_segment_is_not_pooled_with_one_offs(spark):
     assert {r.verdict for r in got if r.path == "/about"} == {"allow"}
 
 
+def test_branches_below_six_segments(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(url_filter, "_chains", lambda tree, f=url_filter._chains: rounds.append(1) or f(tree))
+    deep, long = "https://site.com/a/b/c/d/e/f", "https://long.com" + "/x" * 3000
+    rows = [(i, f"{deep}/{('good', 'spam')[i % 2]}/g/{i}", 1 - i % 2) for i in range(400)]
+    rows += [(1000, long, None), (1001, long + "/y", None), (1002, "https://long.com/x/x", None), (1003, deep, None), (1004, deep + "/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, good int")
+    got = {r.page_id: r for r in url_filter.filter_urls(pages, pages["good"]).collect()}
+    assert len(got) == len(rows)
+    assert {(got[i].template, got[i].verdict) for i in range(0, 400, 2)} == {("/a/b/c/d/e/f/good/g/<n>", "allow")}
+    assert {(got[i].template, got[i].verdict) for i in range(1, 400, 2)} == {("/a/b/c/d/e/f/spam/g/<n>", "block")}
+    assert [got[i].template for i in (1000, 1001, 1002, 1003)] == [got[i].path for i in (1000, 1001, 1002, 1003)]
+    assert got[1004].template == "/a/b/c/d/e/f/~"  # no label tells the empty segment from its siblings
+    assert len(rounds) == 2
+
+
 def test_no_rows(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
