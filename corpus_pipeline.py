@@ -11,8 +11,8 @@ from strata.llm import langid, line_dedup, mixing, near_dedup, packing
 from strata.llm.queries import tokenizer_files
 from strata.llm.store import shared_dir
 
-#: Least score of an identified language; below it, or without a letter, a document is rejected.
-MIN_LANG_SCORE = 0.3
+#: Least sureness of the labelled spans; below it, or without a letter, a document is rejected.
+MIN_LANG_SURE = 0.3
 
 
 def boxed(docs: DataFrame, *used: str) -> DataFrame:
@@ -26,9 +26,9 @@ def unboxed(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identifiable language go; a missing ``lang`` becomes the identified one."""
+    """Documents without identifiable languages go, mixed ones stay; a missing ``lang`` becomes the identified one."""
     found = langid.identify(boxed(docs, "text", "lang"), langid.fit(docs))
-    found = found.where((F.col("lang_pred") != langid.UND) & (F.col("lang_score") >= MIN_LANG_SCORE))
+    found = found.where((F.col("lang_pred") != langid.UND) & (F.col("lang_sure") >= MIN_LANG_SURE))
     return unboxed(found.withColumn("lang", F.coalesce("lang", "lang_pred")), docs, "text", "lang")
 
 

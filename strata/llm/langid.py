@@ -3,7 +3,8 @@
 A word's script (from code-point ranges) narrows the languages that can claim it.  Hashed byte
 n-grams of the word, and the word itself, give each remaining language a score; Viterbi over the
 words with a penalty for every switch labels spans.  A document gets the language that holds most
-characters of its lettered words.
+characters of its lettered words.  How sure its labels are is judged span by span, whatever language
+each has: only letters of scripts that were learned count for it.
 
 A path without a switch is best, and no search is needed, if no other language gains more than the
 penalty over any run of words: then ``k`` foreign spans gain at most ``k`` penalties and pay as many.
@@ -166,8 +167,8 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
                  script / np.maximum(1, script.sum(0)) >= SCRIPT_SHARE)
 
 
-def _word_scores(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Scores (words, languages), 0 for the best, and whether each word has a letter."""
+def _word_scores(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores (words, languages), 0 for the best, and whether each word has a letter, and one of a learned script."""
     first, which, _ = _distinct(buf, starts, ends)
     starts, ends = starts[first], ends[first]
     script = _scripts(buf, starts, ends)
@@ -178,9 +179,10 @@ def _word_scores(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: M
     total /= np.sqrt(np.maximum(grams, 1))[:, None]  # overlapping n-grams are not independent
     total = np.maximum(total - total.max(1, keepdims=True), -CLIP)
     may = model.writes[script]
-    total = np.where(may | ~may.any(1, keepdims=True), total, -CLIP)
-    total[script == 0] = 0
-    return (total - total.max(1, keepdims=True))[which], (script > 0)[which]
+    known = may.any(1) & (script > 0)
+    total = np.where(may, total, -CLIP)
+    total[~known] = 0
+    return (total - total.max(1, keepdims=True))[which], (script > 0)[which], known[which]
 
 
 def _one_language(score: np.ndarray, at: np.ndarray, doc: np.ndarray, best: np.ndarray) -> np.ndarray:
@@ -219,7 +221,7 @@ def _viterbi(score: np.ndarray, at: np.ndarray, among: np.ndarray, label: np.nda
 
 
 def label_texts(buf: np.ndarray, offs: np.ndarray, model: Model) -> list[pa.Array]:
-    """Language, score and spans of each text."""
+    """Language, score, spans and sureness of each text."""
     n, names = len(offs) - 1, np.array([*model.langs, UND], dtype=object)
     starts, ends, at = texts.words(buf, offs)
     lettered = np.zeros(len(buf) + 1, np.int64)
@@ -227,10 +229,10 @@ def label_texts(buf: np.ndarray, offs: np.ndarray, model: Model) -> list[pa.Arra
     has = lettered[offs[1:]] > lettered[offs[:-1]]
     for i in np.flatnonzero(~has & (np.diff(offs) > 0)):
         has[i] = any(c.isalpha() for c in bytes(buf[offs[i]:offs[i + 1]]).decode())
-    lang, score = np.full(n, len(model.langs)), np.zeros(n)
+    lang, score, sure = np.full(n, len(model.langs)), np.zeros(n), np.zeros(n)
     label = np.zeros(len(starts), np.int64)
     if model.langs and len(starts):
-        words, letters = _word_scores(buf, starts, ends, model)
+        words, letters, known = _word_scores(buf, starts, ends, model)
         total = np.zeros((n, len(model.langs)))
         full = np.flatnonzero(np.diff(at))
         total[full] = np.add.reduceat(words.astype(np.float64), at[:-1][full], axis=0)
@@ -252,29 +254,41 @@ def label_texts(buf: np.ndarray, offs: np.ndarray, model: Model) -> list[pa.Arra
     place = np.searchsorted(heads, at)
     doc = texts.owner(place)
     tails = np.r_[heads[1:], len(label)]
+    if model.langs and len(heads):
+        total = np.add.reduceat(words.astype(np.float64), heads, axis=0)
+        own = total[np.arange(len(heads)), label[heads]]
+        total[np.arange(len(heads)), label[heads]] = -np.inf
+        gap = own - (total.max(1) if len(model.langs) > 1 else -CLIP)
+        held = np.add.reduceat(size * known, heads) / (1 + np.exp(-np.clip(gap, -50, 50)))
+        sure = np.where(has, np.bincount(doc, held, n) / np.maximum(1, np.bincount(doc, np.add.reduceat(size, heads), n)), 0.0)
     spans = pa.StructArray.from_arrays(
         [pa.array(heads - at[doc], pa.int64()), pa.array(tails - at[doc], pa.int64()),
          pa.array(np.where(has[doc], names[label[heads]], UND), pa.string())],
         fields=[pa.field("start", pa.int64()), pa.field("end", pa.int64()), pa.field("lang", pa.string())]) if len(heads) else None
     kind = pa.list_(pa.struct([pa.field("start", pa.int64()), pa.field("end", pa.int64()), pa.field("lang", pa.string())]))
     lists = pa.array([[]] * n, kind) if spans is None else pa.ListArray.from_arrays(pa.array(place, pa.int32()), spans)
-    return [pa.array(names[lang], pa.string()), pa.array(score), lists.cast(kind)]
+    return [pa.array(names[lang], pa.string()), pa.array(score), lists.cast(kind), pa.array(sure)]
 
 
 FIELDS = [
     T.StructField("lang_pred", T.StringType(), False), T.StructField("lang_score", T.DoubleType(), False),
     T.StructField("lang_spans", T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("lang", T.StringType())]))),
+    T.StructField("lang_sure", T.DoubleType(), False),
 ]
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (all columns by default), ``lang_pred``, ``lang_score`` (0 to 1) and ``lang_spans``:
-    word positions, end exclusive, with their language.
+    """``keep`` (all columns by default), ``lang_pred``, ``lang_score`` (0 to 1), ``lang_spans``: word
+    positions, end exclusive, with their language, and ``lang_sure`` (0 to 1).
+
+    ``lang_score`` falls with the share of other languages than ``lang_pred``; ``lang_sure`` does not.  It
+    is the share of the lettered words' characters that stand in words of a learned script, each span's
+    weighed by how far its language leads there (one half if not at all).
 
     ``und`` and score 0 if the text is null, empty or has no letter, or if the model has no
     language.  Letters of a script that no language was learned in leave all languages level: the
-    first one gets the text with a low score.  Each text is judged by itself, so repeated rows get
+    first one gets the text with a score of one half at most and ``lang_sure`` 0.  Each text is judged by itself, so repeated rows get
     equal results.  A kept column with the name of a new one is replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats

@@ -89,3 +89,16 @@ def test_no_rows_and_no_labels(empty, edge):
     model = langid.fit(empty)
     assert model.langs == [] and langid.identify(empty, model).collect() == []
     assert {r.lang_pred for r in langid.identify(edge, model).collect()} == {"und"}
+
+
+def test_sureness_of_mixed_text_and_of_unlearned_script(spark, model):
+    rows = {r.lang: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 1500").collect()}
+    even = "\n".join(rows[la][:600] for la in ("en", "de", "fr", "es"))
+    thai = "ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำแน่นอน หรือวรรณยุกต์เช่นเดียวกับภาษาจีน " * 40
+    greek = "Η γλώσσα είναι ένα σύστημα επικοινωνίας με λέξεις και κανόνες " * 40
+    docs = spark.createDataFrame([(0, even), (1, thai), (2, greek), (3, rows["en"][:600] + "\n" + thai[:60])], "k int, text string")
+    got = {r.k: r for r in langid.identify(docs, model).collect()}
+    assert {s.lang for s in got[0].lang_spans} == {"en", "de", "fr", "es"} and got[0].lang_score < 0.3
+    assert got[0].lang_sure > 0.9 and got[3].lang_sure > 0.8
+    for k in (1, 2):
+        assert got[k].lang_sure == 0 and got[k].lang_score <= 0.5 and got[k].lang_pred == model.langs[0]

@@ -23,6 +23,15 @@ def test_language_stage_rejects_what_has_no_language(spark, documents, edge):
     assert all(r.lang for r in kept)
 
 
+def test_language_stage_keeps_mixed_text_and_rejects_unlearned_script(spark, documents):
+    long = {r.lang: r for r in documents.where("length(text) > 900").collect()}
+    even = "\n".join(long[la].text[:600] for la in ("en", "de", "fr", "es"))
+    greek = "Η γλώσσα είναι ένα σύστημα επικοινωνίας με λέξεις και κανόνες " * 40
+    own = spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate((even, greek))], documents.schema)
+    kept = by_name("language ID")(spark, documents.unionByName(own), SF).where(F.col("doc_id") >= 10**9).collect()
+    assert [r.text for r in kept] == [even]
+
+
 def test_line_stage(spark, documents, document_rows):
     got = by_name("line dedup")(spark, documents, SF)
     assert got.columns == documents.columns
