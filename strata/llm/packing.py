@@ -1,8 +1,8 @@
 """Packing documents into sequences by order-preserving dynamic programming.
 
 Documents stay in ascending order of id, each as its tokens and one end token.  Sequences are cut out
-of that stream at document ends or sentence ends (and inside a sentence only where it alone is longer
-than a sequence).  With ``f(j)`` the least cost of cutting everything before position ``j``::
+of that stream at document ends, at sentence ends, or inside any sentence: there at every ``GRID``-th
+token of the stream and where a sequence from an earlier document's or sentence's end is full.  With ``f(j)`` the least cost of cutting everything before position ``j``::
 
     f(j) = penalty(j) + SEQUENCE + min over i of f(i) + padding(j - i)
 
@@ -30,12 +30,16 @@ from strata.llm import texts
 WIDTH = 1024
 #: Costs in padded tokens: a cut after a sentence, a cut inside one, and each sequence.
 SENTENCE, FORCED, SEQUENCE = 4, 64, 2
+#: Places inside sentences are so many tokens apart; sequences from one to another need no padding.
+GRID = 64
 #: Texts are tokenized and cut in runs of about so many bytes; a run ends with a document.
 RUN_BYTES = 1 << 21
 END_ID = 0
 
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
+#: Last bytes of the sentence stops of other scripts, which need no space after them.
+_STOPS = np.array(sorted(int.from_bytes(c.encode()[-3:]) for c in "\u0589\u061f\u06d4\u0964\u0965\u0f0d\u104b\u1362\u1367\u1368\u17d4\u203c\u2047\u2048\u2049\u3002\uff01\uff0e\uff1f\uff61"))
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b" \t\n\r\"')]")] = True
 
@@ -103,6 +107,24 @@ def _tokenizer(model: str, ranks: str):
     return encode, size
 
 
+def _other_stops(buf: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """Which of the tokens that end at ``byte`` end with a stop of another script."""
+    out = np.zeros(len(byte), bool)
+    wide = np.flatnonzero(buf[byte - 1] >= 0x80) if len(buf) else np.zeros(0, np.int64)
+    padded = np.r_[np.zeros(3, np.int64), buf]
+    three, two, one = (padded[byte[wide] + 3 - k] for k in (3, 2, 1))
+    out[wide] = np.isin(np.where(two >= 0xC0, 0, three) << 16 | two << 8 | one, _STOPS)
+    return out
+
+
+def _inside(places: np.ndarray, width: int) -> np.ndarray:
+    """Places inside the sentences between ``places`` for forced cuts."""
+    grid = np.arange(0, places[-1], GRID)
+    full = places + width
+    whole = [np.arange(places[k] + width, places[k + 1], width) for k in np.flatnonzero(np.diff(places) > width)]
+    return np.setdiff1d(np.concatenate([grid, full[full < places[-1]], *whole]), places)
+
+
 def _run(rows: pa.RecordBatch, encode, size: np.ndarray, width: int, number: int, ids_too: bool) -> tuple[list[pa.Array], int]:
     """Pieces of one run of documents, and how many sequences they fill."""
     column = rows.column(1).fill_null("")
@@ -117,17 +139,12 @@ def _run(rows: pa.RecordBatch, encode, size: np.ndarray, width: int, number: int
     # a sentence ends with its stop, before a space or the like, or with its line break
     byte = np.cumsum(size[plain])
     last, after = buf[np.minimum(byte, len(buf)) - 1], np.append(buf, np.uint8(0x20))[byte]
-    ends = np.flatnonzero((_STOP[last] & _BREAK[after]) | (last == 0x0A)) if len(plain) else np.zeros(0, np.int64)
+    ends = np.flatnonzero((_STOP[last] & _BREAK[after]) | (last == 0x0A) | _other_stops(buf, byte)) if len(plain) else np.zeros(0, np.int64)
     places = np.unique(np.concatenate([[0], ends + 1 + doc[ends], doc_end]))
-    gap = np.diff(places)
-    wide = np.flatnonzero(gap > width)
-    forced = [np.arange(places[k] + width, places[k + 1], width) for k in wide]
-    if forced:
-        forced = np.concatenate(forced)
-        places = np.unique(np.concatenate([places, forced]))
+    forced = _inside(places, width)
+    places = np.unique(np.concatenate([places, forced]))
     penalty = np.full(len(places), SENTENCE)
-    if len(forced):
-        penalty[np.searchsorted(places, forced)] = FORCED
+    penalty[np.searchsorted(places, forced)] = FORCED
     penalty[np.searchsorted(places, doc_end)] = 0
     cuts = cuts_of(places, penalty, width)
     bounds = np.unique(np.concatenate([cuts, doc_end]))

@@ -89,5 +89,26 @@ def test_special_token_in_text_and_long_sentence(spark, tokenizer):
     check(got.collect(), rows, tokenizer)
 
 
+@pytest.mark.parametrize("n", [600, 700, 1500, 90])
+def test_documents_without_sentence_ends_are_cut_freely(spark, tokenizer, n):
+    rows = [(i, " word" * (n + i % 7)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    got = packing.pack(docs, *queries.tokenizer_files()).collect()
+    assert check(got, rows, tokenizer) < 0.05
+
+
+def test_sentence_stops_of_other_scripts(spark, tokenizer):
+    for sentence in ("这是一个没有空格的句子。", "यह एक छोटा वाक्य है। ", "هل هذه جملة؟ ", "これは文です！"):
+        text = sentence * 400
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        one = len(tokenizer.encode(sentence * 2, add_special_tokens=False).ids) - len(tokenizer.encode(sentence, add_special_tokens=False).ids)
+        rows = [(1, text)]
+        got = packing.pack(spark.createDataFrame(rows, "doc_id int, text string"), *queries.tokenizer_files()).collect()
+        check(got, rows, tokenizer)
+        stop = sentence.strip()[-1]
+        ended = [tokenizer.decode(ids[:r.start + r.length]).rstrip().endswith(stop) for r in got]
+        assert one < 60 and len(ended) > 3 and np.mean(ended) >= 0.7, (sentence, ended)
+
+
 def test_no_rows(empty):
     assert packing.pack(empty, *queries.tokenizer_files()).collect() == []
