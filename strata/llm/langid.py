@@ -6,8 +6,9 @@ words with a penalty for every switch labels spans.  A document gets the languag
 characters of its lettered words.  How sure its labels are is judged span by span, whatever language
 each has: only letters of scripts that were learned count for it.
 
-A path without a switch is best, and no search is needed, if no other language gains more than the
-penalty over any run of words: then ``k`` foreign spans gain at most ``k`` penalties and pay as many.
+A path without a switch is best, and no search is needed, if no other language gains more than half the
+penalty over any run of words: ``k`` spans of other languages gain at most ``k / 2`` penalties and pay
+``k - 1`` at least, which is as much from two spans on; a single one gains nothing over the best total.
 All other documents of a batch go through Viterbi together, word by word.
 """
 
@@ -186,7 +187,7 @@ def _word_scores(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: M
 
 
 def _one_language(score: np.ndarray, at: np.ndarray, doc: np.ndarray, best: np.ndarray) -> np.ndarray:
-    """Whether no run of a text's words gains another language more than the penalty."""
+    """Whether no run of a text's words gains another language more than half the penalty."""
     calm = np.ones(len(at) - 1, bool)
     own = score[np.arange(len(doc)), best[doc]].astype(np.float64)
     full = np.flatnonzero(np.diff(at))
@@ -196,7 +197,7 @@ def _one_language(score: np.ndarray, at: np.ndarray, doc: np.ndarray, best: np.n
         step = 2 * CLIP * (len(doc) + 1)  # each text lies below all earlier ones
         low = np.minimum.accumulate(run[:-1] - step * doc)
         most = np.maximum.reduceat(run[1:] - step * doc - low, at[:-1][full])
-        calm[full] &= most <= SWITCH
+        calm[full] &= most <= SWITCH / 2
     return calm
 
 

@@ -45,6 +45,15 @@ def test_batched_viterbi_and_shortcut_against_plain():
         assert cost(s, label[at[i]:at[i + 1]]) == pytest.approx(plain_viterbi(s)[1])
 
 
+def test_shortcut_where_a_third_language_is_best_in_total():
+    score = np.array([[0, -5, -2.4]] * 4 + [[-5, 0, -2.4]] * 4)
+    at, doc, best = np.array([0, 8]), np.zeros(8, int), np.array([2])
+    assert score.sum(0).argmax() == 2
+    label = best[doc]
+    langid._viterbi(score, at, np.flatnonzero(~langid._one_language(score, at, doc, best)), label)
+    assert label.tolist() == plain_viterbi(score)[0] == [0] * 4 + [1] * 4
+
+
 def test_held_out_accuracy(spark):
     got = queries.op1_language_id(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
