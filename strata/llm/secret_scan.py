@@ -1,10 +1,11 @@
 """Secret scan with a trigram inverted index.
 
-Each rule is a regex; from its literal parts comes a Boolean query over trigrams of lower-cased text:
-any of several words, each of which needs all its trigrams.  The index holds, for every trigram that
+Each rule is a regex with words typed by hand, one of which every match must hold; the pattern itself
+is not read.  They make a Boolean query over trigrams of lower-cased text: any of the words, each of
+which needs all its trigrams.  The index holds, for every trigram that
 some rule asks for, a posting for each document that has it; a rule's candidates are the documents
 in the intersection of a word's postings, for any of its words.  Only candidates are verified with
-the regex.  A rule whose regex has no mandatory literal of three characters scans every text.
+the regex.  A rule without words, or with one under three characters, scans every text.
 
 All of it is DataFrame operations.  Postings carry two hashes of id and text, so null and repeated
 ids do no harm, and trigrams that most documents have make long postings but no long row: words are
