@@ -130,6 +130,27 @@ def _merkle_sql(leaf_levels: int = 8, group_levels: int = 4) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op13_decontamination": r"""
+        WITH cut AS (
+            SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+            UNION ALL
+            SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+        ), items AS (
+            SELECT id AS item, least(len(ws), 10) AS n, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i, ws FROM cut WHERE kind = 'i' AND len(ws) > 0
+        ), windows AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS win FROM items
+        ), places AS (
+            SELECT id AS doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i, ws FROM cut, (SELECT DISTINCT n FROM windows) WHERE kind = 'd' AND len(ws) >= n
+        ), found AS (
+            SELECT doc_id, item, p.n, p.i FROM (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS win FROM places) p JOIN windows USING (n, win)
+        ), hit AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS w FROM found) GROUP BY doc_id
+        ), whose AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+                     FROM (SELECT DISTINCT doc_id, item::VARCHAR AS item FROM found) GROUP BY doc_id)
+        SELECT id AS doc_id, coalesce(len(ws), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM cut LEFT JOIN hit ON id = hit.doc_id LEFT JOIN whose ON id = whose.doc_id WHERE kind = 'd'
+    """,
     "op12_merkle_manifest": _merkle_sql(),
     "op2_url_filter": _url_sql(),
     "op8_mixing": _mixing_sql(),

@@ -143,8 +143,18 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.decontaminate import covered, hits
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = hits(docs, _table(spark, sf_dir, "benchmark").select("item_id", "text"), span=10, keep=["doc_id"])
+    n_hit = covered(F.col("hit_spans"))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_secret_scan, op4_simhash_fingerprints,
     op5_repetition_quality, op6_quality_classifier,
     op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup,
-    op12_merkle_manifest)}
+    op12_merkle_manifest, op13_decontamination)}

@@ -120,11 +120,12 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word (no space, \\t, \\n, \\v, \\f or \\r inside), and ``n + 1`` word offsets."""
+def words(buf: np.ndarray, offs: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and ``n + 1`` word offsets.  ``between`` says of each byte whether it
+    stands between words: by default space, \\t, \\n, \\v, \\f and \\r."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
-    space = _SPACE[buf]
+    space = between[buf]
     cuts = offs[:-1][offs[:-1] < len(buf)]
     before = np.empty_like(space)
     before[0], before[1:] = True, space[:-1]

@@ -2,7 +2,6 @@ import hashlib
 import zlib
 
 import duckdb
-import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import merkle, queries
