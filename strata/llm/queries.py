@@ -129,6 +129,19 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.whitening import fit, identity_error, whiten
+
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit(vectors, k=8)
+    found = stored(whiten(vectors, model, keep=["vec_id"]), "whitened")
+    error = identity_error(found)
+    share = F.array(*[F.lit(None if x != x else float(x)) for x in model.explained]).cast("array<double>")
+    rows = found.select("vec_id", "deviation", F.posexplode("whitened").alias("pos", "whitened"))
+    return rows.select("vec_id", (F.col("pos") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+                       F.get(share, F.col("pos")).alias("explained"), F.lit(error).cast("double").alias("identity_error"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.merkle import folded, leaf_digest, manifest, proof_digest
 
@@ -157,4 +170,4 @@ QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_url_filter, op3_secret_scan, op4_simhash_fingerprints,
     op5_repetition_quality, op6_quality_classifier,
     op7_line_dedup, op8_mixing, op9_packing, op10_simhash_near_dedup,
-    op12_merkle_manifest, op13_decontamination)}
+    op11_whitening, op12_merkle_manifest, op13_decontamination)}
