@@ -2,7 +2,7 @@
 
 Documents stay in ascending order of id, each as its tokens and one end token.  Sequences are cut out
 of that stream at document ends, at sentence ends, or inside any sentence: there at every ``GRID``-th
-token of the stream and where a sequence from an earlier document's or sentence's end is full.  With ``f(j)`` the least cost of cutting everything before position ``j``::
+token of the stream and where a sequence from an earlier document's end is full.  With ``f(j)`` the least cost of cutting everything before position ``j``::
 
     f(j) = penalty(j) + SEQUENCE + min over i of f(i) + padding(j - i)
 
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,40 +47,55 @@ def cuts_of(places: np.ndarray, penalty: np.ndarray, width: int = WIDTH) -> np.n
     """The cheapest cuts among sorted ``places`` (first and last are always cut); neighbouring
     places are at most ``width`` apart."""
     m = len(places)
-    at, cost = places.tolist(), (penalty + SEQUENCE).tolist()
-    exact: list[list[int] | None] = [None] * m
-    power = 1
-    while power <= width:
-        back = np.searchsorted(places, places - power)
-        for j in np.flatnonzero(places[back] == places - power).tolist():
-            if exact[j] is None:
-                exact[j] = []
-            exact[j].append(int(back[j]))
-        power *= 2
+    exact = _exact(places, width)
+    # costs are counted from a full sequence: f(i) + i - (j - width) beside f(i) for an exact power
     best, came = [0] * m, [0] * m
-    queue = deque([(at[0], 0)])  # (f(i) + i, i), rising; the front is the least within reach
-    for j in range(1, m):
-        here = at[j]
-        while at[queue[0][1]] < here - width:
-            queue.popleft()
-        low, i = queue[0]
-        low += width - here
+    queue, of, front = [int(places[0])], [0], 0  # f(i) + i, rising, and its i; the front is the least within reach
+    steps = zip(range(1, m), (places[1:] - width).tolist(), np.searchsorted(places, places[1:] - width).tolist(), (penalty[1:] + SEQUENCE).tolist())
+    for j, base, first, cost in steps:
+        while of[front] < first:
+            front += 1
+        i = of[front]
+        low = queue[front] - base
         if exact[j]:
             for k in exact[j]:
                 if best[k] < low:
                     low, i = best[k], k
-        best[j] = low = low + cost[j]
+        best[j] = low = low + cost
         came[j] = i
-        low += here
-        while queue and queue[-1][0] >= low:
+        low += base + width
+        while len(of) > front and queue[-1] >= low:
             queue.pop()
-        queue.append((low, j))
+            of.pop()
+        queue.append(low)
+        of.append(j)
     out = [m - 1]
     while out[-1]:
         out.append(came[out[-1]])
     return places[out[::-1]]
 
 
+def _exact(places: np.ndarray, width: int) -> list[list[int] | None]:
+    """Of each place, the places that lie a power of two below ``width`` before it."""
+    ends, starts, power = [], [], 1
+    while power < width:
+        back = np.searchsorted(places, places - power)
+        there = np.flatnonzero(places[back] == places - power)
+        ends.append(there)
+        starts.append(back[there])
+        power *= 2
+    out: list[list[int] | None] = [None] * len(places)
+    if not ends:
+        return out
+    end, start = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(end, kind="stable")
+    end, start = end[order], start[order].tolist()
+    some, at = np.unique(end, return_index=True)
+    for j, a, b in zip(some.tolist(), at.tolist(), [*at[1:].tolist(), len(end)]):
+        out[j] = start[a:b]
+    return out
+
+
 def _tokenizer(model: str, ranks: str):
     import tiktoken
     from tokenizers import Tokenizer
@@ -117,10 +131,9 @@ def _other_stops(buf: np.ndarray, byte: np.ndarray) -> np.ndarray:
     return out
 
 
-def _inside(places: np.ndarray, width: int) -> np.ndarray:
+def _inside(places: np.ndarray, doc_end: np.ndarray, width: int) -> np.ndarray:
     """Places inside the sentences between ``places`` for forced cuts."""
-    grid = np.arange(0, places[-1], GRID)
-    full = places + width
+    grid, full = np.arange(0, places[-1], GRID), doc_end + width
     whole = [np.arange(places[k] + width, places[k + 1], width) for k in np.flatnonzero(np.diff(places) > width)]
     return np.setdiff1d(np.concatenate([grid, full[full < places[-1]], *whole]), places)
 
@@ -141,7 +154,7 @@ def _run(rows: pa.RecordBatch, encode, size: np.ndarray, width: int, number: int
     last, after = buf[np.minimum(byte, len(buf)) - 1], np.append(buf, np.uint8(0x20))[byte]
     ends = np.flatnonzero((_STOP[last] & _BREAK[after]) | (last == 0x0A) | _other_stops(buf, byte)) if len(plain) else np.zeros(0, np.int64)
     places = np.unique(np.concatenate([[0], ends + 1 + doc[ends], doc_end]))
-    forced = _inside(places, width)
+    forced = _inside(places, doc_end, width)
     places = np.unique(np.concatenate([places, forced]))
     penalty = np.full(len(places), SENTENCE)
     penalty[np.searchsorted(places, forced)] = FORCED
