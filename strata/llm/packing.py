@@ -14,6 +14,7 @@ few exact positions.  A document's end costs nothing, a sentence's end or a forc
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -98,24 +99,29 @@ def _exact(places: np.ndarray, width: int) -> list[list[int] | None]:
 
 def _tokenizer(model: str, ranks: str):
     import tiktoken
-    from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(model)
+    with open(model, encoding="utf-8") as f:
+        added = {t["id"]: t["content"] for t in json.load(f)["added_tokens"]}
     with open(ranks, "rb") as f:
         merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    size = np.zeros(full.get_vocab_size(), np.int64)
+    size = np.zeros(1 + max(*merges.values(), *added), np.int64)
     for piece, i in merges.items():
         size[i] = len(piece)
-    special = [t.content for t in full.get_added_tokens_decoder().values()]
-    for i, t in full.get_added_tokens_decoder().items():
-        size[i] = len(t.content.encode())
+    special = list(added.values())
+    for i, content in added.items():
+        size[i] = len(content.encode())
+    full: list = []  # the model file takes far longer to load than all ranks: only if some text asks for it
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     quick = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
         """Ids of the model file; its ranks give the same ones sooner where no special token stands."""
         if any(t in text for t in special):
-            return np.array(full.encode(text, add_special_tokens=False).ids, np.uint32)
+            if not full:
+                from tokenizers import Tokenizer
+
+                full.append(Tokenizer.from_file(model))
+            return np.array(full[0].encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(quick.encode_ordinary(text), np.uint32)
 
     return encode, size
