@@ -89,51 +89,90 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 # --------------------------------------------------------------------------- box statistics
 
-#: Value ranges that a group, and then a range holding a wanted rank, is cut into.
-RANGES = 1000
 _PROBS = ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
-
-
-def _located(parts: DataFrame, keys: list[str], part: str) -> DataFrame:
-    """Of the wanted ranks, the part that holds each: (keys, part, _ranks).
-
-    ``parts`` has (keys, part, _c, _ranks), ``_c`` values each and the ranks wanted of its ``keys``
-    as (_rank, _k), ``_k`` counted from 0 among the keys' values and then among the part's."""
-    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(part))
-    rows = parts.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
-    here = F.filter("_ranks", lambda r: (r["_k"] >= F.col("_before")) & (r["_k"] < F.col("_upto")))
-    inner = F.transform(here, lambda r: F.struct(r["_rank"].alias("_rank"), (r["_k"] - F.col("_before")).alias("_k")))
-    return rows.select(*keys, part, inner.alias("_ranks")).where(F.size("_ranks") > 0)
-
-
-def quartiles(pairs: DataFrame, by: list[str]) -> DataFrame:
-    """Exact quartiles of (by, _v, _c) pairs: by, n, min, max, q1, median, q3.
-
-    The ranks that the quartiles interpolate between are located, first among ``RANGES`` equal ranges
-    of the group, then among as many of the range that holds them; only what lies in such a small
-    range is put in order.  No task sees all values of a group."""
-    span = pairs.groupBy(*by).agg(F.sum("_c").cast("bigint").alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"))
-    ranks = [(F.col("n") - 1) * F.lit(p) for p, _ in _PROBS]
-    wanted = F.transform(F.array_distinct(F.flatten(F.array(*[F.array(F.floor(r), F.ceil(r)) for r in ranks]))),
-                         lambda r: F.struct(r.alias("_rank"), r.alias("_k")))
-    at = F.coalesce((F.col("_v") - F.col("min")) / F.nullif(F.col("max") - F.col("min"), F.lit(0.0)), F.lit(0.0)) * RANGES
-    first = F.least(F.floor(at), F.lit(RANGES - 1))
-    second = F.greatest(F.lit(0), F.least(F.floor((at - first) * RANGES), F.lit(RANGES - 1)))
-    placed = pairs.join(span, by).select(*by, "n", "min", "max", "_v", "_c", first.alias("_r1"), second.alias("_r2"))
-    own = [*by, "n", "min", "max"]  # a group's size and span go along
-
-    one = placed.groupBy(*own, "_r1").agg(F.sum("_c").alias("_c")).withColumn("_ranks", wanted)
-    one = _located(one, own, "_r1").select(*by, "_r1", "_ranks")
-    near = placed.join(one, [*by, "_r1"])
-    two = near.groupBy(*by, "_r1", "_r2", "_ranks").agg(F.sum("_c").alias("_c"))
-    two = _located(two, [*by, "_r1"], "_r2")
-    small = near.drop("_ranks").join(two, [*by, "_r1", "_r2"])
-    value = _located(small, [*own, "_r1", "_r2"], "_v").select(*own, "_v", F.explode("_ranks._rank").alias("_rank"))
-    have = value.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
-    at_rank = lambda r: F.element_at("_at", r)
-    quarts = [(at_rank(F.floor(r)) + (at_rank(F.ceil(r)) - at_rank(F.floor(r))) * (r - F.floor(r))).alias(name)
-              for r, (_, name) in zip(ranks, _PROBS)]
-    return have.select(*own, *quarts)
+#: Even steps that a sketch is asked for, and its accuracy (its ranks are off by 1 / accuracy at most).
+STEPS, ACCURACY = 200, 4_000
+
+
+def _sketched(pairs: DataFrame, by: list[str], weighted: bool) -> DataFrame:
+    """Bounds of each group's quartiles, by a mergeable sketch: by, _w (all counts), and _lo and _hi, arrays
+    of a value that is at most, and one that is at least, what the quartile interpolates between.
+
+    A count is the sum of its binary digits: the values of each digit have a sketch of their own, whose
+    ranks count as often as the digit says, so counts cost no repeated rows.  The sketches' steps, put
+    in order, bound every rank to one step and twice the accuracy."""
+    digit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(62)), lambda i: F.getbit(F.col("_c"), i) == 1)) if weighted else F.lit(0)
+    even = F.expr(f"array({', '.join(f'{i / STEPS}D' for i in range(STEPS + 1))})")
+    planes = pairs.select(*by, "_v", digit.alias("_d")).groupBy(*by, "_d").agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", even, ACCURACY).alias("_q"))
+    worth = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_d"))  # what one value of the plane counts
+    whole = Window.partitionBy(*by)
+    points = planes.select(*by, (worth * F.col("_n")).alias("_w"), worth.alias("_unit"), F.posexplode("_q").alias("_j", "_v"))
+    mass = F.when(F.col("_j") > 0, F.col("_w") / STEPS).otherwise(0.0)
+    first = F.col("_j") == 0
+    points = points.select(*by, "_v", mass.alias("_m"), F.when(first, F.col("_w")).alias("_w"), F.when(first, F.col("_unit")).alias("_unit"))
+    points = points.groupBy(*by, "_v").agg(F.sum("_m").alias("_m"), F.sum("_w").alias("_w"), F.sum("_unit").alias("_unit"))
+    upto = F.sum("_m").over(whole.orderBy("_v"))
+    points = points.select(*by, "_v", upto.alias("_upto"), (upto - F.col("_m")).alias("_before"),
+                           F.sum("_w").over(whole).alias("_w"), F.sum("_unit").over(whole).alias("_unit"))
+    slack = F.col("_w") * (2.0 / ACCURACY) + F.col("_unit") * 2
+    rank = lambda p: (F.col("_w") - 1) * F.lit(p)
+    lows = [F.coalesce(F.max(F.when(F.col("_before") + F.col("_w") / STEPS + slack <= F.floor(rank(p)), F.col("_v"))), F.min("_v")) for p, _ in _PROBS]
+    highs = [F.coalesce(F.min(F.when(F.col("_upto") - slack >= F.ceil(rank(p)) + 1, F.col("_v"))), F.max("_v")) for p, _ in _PROBS]
+    return points.groupBy(*by).agg(F.max("_w").alias("_w"), F.array(*lows).alias("_lo"), F.array(*highs).alias("_hi"))
+
+
+def _fences(q1: Column, q3: Column) -> tuple[Column, Column]:
+    return q1 - F.lit(1.5) * (q3 - q1), q3 + F.lit(1.5) * (q3 - q1)
+
+
+def _outlined(pairs: DataFrame, by: list[str], weighted: bool, fences: bool) -> DataFrame:
+    """Each group's values, in full only where a quartile (or a fence) can lie: by, _at (the value, or null
+    for a stretch between), _first and _last value, _c of them."""
+    bounds = _sketched(pairs, by, weighted)
+    if fences:
+        lo, hi = F.col("_lo"), F.col("_hi")
+        far = (F.abs(lo[0]) + F.abs(hi[2])) * 1e-9  # rounding of the interpolated quartiles
+        low = (_fences(lo[0], hi[2])[0] - far, _fences(hi[0], lo[2])[0] + far)
+        high = (_fences(hi[0], lo[2])[1] - far, _fences(lo[0], hi[2])[1] + far)
+        bounds = bounds.select(*by, F.concat(lo, F.array(low[0], high[0])).alias("_lo"), F.concat(hi, F.array(low[1], high[1])).alias("_hi"))
+    n = len(_PROBS) + 2 * fences
+    within = F.expr(" OR ".join(f"(_v >= _lo[{k}] AND _v <= _hi[{k}])" for k in range(n)))
+    stretch = F.expr(" + ".join(f"IF(_hi[{k}] < _v, 1D, 0D)" for k in range(n)))
+    rows = pairs.join(bounds.select(*by, "_lo", "_hi"), by).select(*by, "_v", "_c", within.alias("_in"), F.when(within, F.col("_v")).otherwise(stretch).alias("_key"))
+    rows = rows.groupBy(*by, "_in", "_key").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_first"), F.max("_v").alias("_last"))
+    return rows.select(*by, F.when(F.col("_in"), F.col("_key")).alias("_at"), "_first", "_last", "_c")
+
+
+def _placed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` (see ``_outlined``) and, on each, its group's n, min, max, q1, median and q3."""
+    whole = Window.partitionBy(*by)
+    upto = F.sum("_c").over(whole.orderBy("_first"))
+    rows = rows.select("*", upto.alias("_upto"), F.sum("_c").over(whole).cast("bigint").alias("n"),
+                       F.min("_first").over(whole).alias("min"), F.max("_last").over(whole).alias("max"))
+    # the sketch's bounds are wide enough for every wanted value to stand alone; else the query must not go on
+    alone = F.when(F.col("_at").isNotNull(), F.col("_at")).otherwise(F.raise_error("a quartile fell outside its sketch's bounds").cast("double"))
+
+    def at(rank: Column) -> Column:
+        here = (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto"))
+        return F.max(F.when(here, alone)).over(whole)
+
+    def quartile(p: float) -> Column:
+        rank = (F.col("n") - 1) * F.lit(p)
+        low, high = at(F.floor(rank)), at(F.ceil(rank))
+        return low + (high - low) * (rank - F.floor(rank))
+
+    return rows.select("*", *[quartile(p).alias(name) for p, name in _PROBS])
+
+
+def quartiles(pairs: DataFrame, by: list[str], weighted: bool = True) -> DataFrame:
+    """Exact quartiles of (by, _v, _c) pairs, the value and how often it counts: by, n, min, max, q1, median, q3.
+
+    Two passes over the pairs.  The first makes a mergeable quantile sketch a group, which bounds each
+    quartile; the second counts what lies between the bounds and keeps only the values within, about one
+    in ``STEPS / 2`` each, however the values are spread.  Those alone are put in order."""
+    names = ["n", "min", "max", *[name for _, name in _PROBS]]
+    return _placed(_outlined(pairs, by, weighted, False), by).groupBy(*by).agg(*[F.max(c).alias(c) for c in names])
 
 
 def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
@@ -144,38 +183,32 @@ def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
     Quartiles interpolate linearly between order statistics.  Whiskers are the
     most extreme data within 1.5 IQR of the box; points beyond are outliers.
 
-    Exact quartiles first collapse the data to (value, count) pairs with a
-    partially aggregated group count and then select by rank (``quartiles``).
-    ``weight`` names a count column when the input is already such pairs.
+    Exact statistics take two passes, see ``quartiles``; the second also keeps
+    what lies where a fence can be, so that whiskers and outliers need no third.
+    ``weight`` names a count column when the input is (value, count) pairs.
     ``approx=True`` uses ``percentile_approx`` (unweighted rows only).
     """
     grouped = bool(by)
     by = list(by) if grouped else ["_g"]
     base = df if grouped else df.withColumn("_g", F.lit(0))
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    src = (base.select(*by, F.col(column).cast("double").alias("_v"), w.alias("_c"))
-           .filter(F.col("_v").isNotNull()))
+    src = base.select(*by, F.col(column).cast("double").alias("_v"), w.alias("_c")).filter(F.col("_v").isNotNull() & (F.col("_c") > 0))
     if approx:
         if weight:
             raise ValueError("approximate quartiles take unweighted rows")
-        pairs = src
         probs = F.array(*[F.lit(p) for p, _ in _PROBS])
         quart = src.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
                                      F.percentile_approx("_v", probs, accuracy).alias("_q"))
         quart = quart.select(*by, "n", "min", "max", *[F.col("_q")[i].alias(name) for i, (_, name) in enumerate(_PROBS)])
+        rows = src.join(quart, by).withColumn("_first", F.col("_v")).withColumn("_last", F.col("_v"))
     else:
-        pairs = src.groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
-        quart = quartiles(pairs, by)
-    quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo_fence = F.col("q1") - F.lit(1.5) * F.col("iqr")
-    hi_fence = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    # Second pass over the pairs: one row per group joins back on the group
-    # key (AQE broadcasts it when small; a shuffle join otherwise).
-    joined = pairs.join(quart, by, "inner")
-    inside = (F.col("_v") >= lo_fence) & (F.col("_v") <= hi_fence)
-    out = joined.groupBy(*by, "n", "min", "q1", "median", "q3", "max", "iqr").agg(
-        F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
+        rows = _placed(_outlined(src, by, weight is not None, True), by)
+    low, high = _fences(F.col("q1"), F.col("q3"))
+    # a stretch lies on one side of each fence
+    inside = (F.col("_first") >= low) & (F.col("_last") <= high)
+    out = rows.withColumn("iqr", F.col("q3") - F.col("q1")).groupBy(*by, "n", "min", "q1", "median", "q3", "max", "iqr").agg(
+        F.min(F.when(inside, F.col("_first"))).alias("whisker_lo"),
+        F.max(F.when(inside, F.col("_last"))).alias("whisker_hi"),
         F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("bigint").alias("n_outliers"))
     return out if grouped else out.drop("_g")
 

@@ -69,7 +69,47 @@ def test_exact_quartiles_against_numpy(spark):
 def test_box_plan_has_no_whole_group_percentile(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
     plan = stats.box_stats(df, "v", by=["g"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "percentile" not in plan
+    assert "percentile(" not in plan and plan.count("Range (") == 2  # mergeable sketches only, and two passes
+
+
+def test_outlier_leaves_the_kept_values_few(spark):
+    import numpy as np
+
+    rows = spark.range(1_000_000).select(F.when(F.col("id") == 0, 1e12).otherwise((F.col("id") * 48271 % 99991).cast("double") + F.col("id") / 1e7).alias("v"))
+    values = rows.toPandas().v.to_numpy()
+    r = stats.box_stats(rows, "v").first()
+    q1, median, q3 = np.quantile(values, [0.25, 0.5, 0.75])
+    assert (r.q1, r.median, r.q3) == pytest.approx((q1, median, q3), rel=1e-14)
+    assert r.max == 1e12 and r.n_outliers == 1 and r.whisker_hi == np.sort(values)[-2] and r.whisker_lo == values.min()
+    pairs = rows.select(F.lit(0).alias("g"), F.col("v").alias("_v"), F.lit(1).cast("long").alias("_c"))
+    kept = stats._outlined(pairs, ["g"], False, True)
+    assert kept.count() < 40_000 and kept.agg(F.sum("_c")).first()[0] == 1_000_000
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_weighted_boxes_against_numpy(spark, seed):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(seed)
+    rows = []
+    for g in range(12):
+        heavy = rng.choice([1, 5, 3000])
+        draw = rng.choice([lambda: rng.gauss(0, 1), lambda: float(rng.randrange(9)), lambda: rng.lognormvariate(0, 3), lambda: -1e300 * rng.random()])
+        rows += [(g, draw(), rng.randrange(0, heavy + 1)) for _ in range(rng.choice([1, 2, 3, 50, 700]))]
+    df = spark.createDataFrame(rows, "g int, v double, w long").repartition(5)
+    got = {r.g: r for r in stats.box_stats(df, "v", by=["g"], weight="w").collect()}
+    for g in range(12):
+        values = np.repeat([r[1] for r in rows if r[0] == g], [r[2] for r in rows if r[0] == g])
+        if not len(values):
+            assert g not in got
+            continue
+        r, quart = got[g], np.quantile(values, [0.25, 0.5, 0.75])
+        assert r.n == len(values) and (r.q1, r.median, r.q3) == pytest.approx(tuple(quart), rel=1e-12, abs=1e-300)
+        low, high = r.q1 - 1.5 * r.iqr, r.q3 + 1.5 * r.iqr
+        inside = values[(values >= low) & (values <= high)]
+        assert (r.whisker_lo, r.whisker_hi, r.n_outliers) == (inside.min(), inside.max(), len(values) - len(inside))
 
 
 def test_share_of_nothing(spark):
