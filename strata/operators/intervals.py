@@ -4,10 +4,10 @@ segment closing and study-window clipping.
 Scale notes
 -----------
 * ``overlap_join`` never compares all intervals of a key with each other.
-  Both sides are cut into fixed-width date bins and equi-joined on (key, bin),
-  and a pair is kept only in the bin holding its clipped start, so each pair
-  is produced once.  A hot key is split by time; AQE splits a hot (key, bin)
-  further, as the exchanges are the join's own.
+  Intervals are cut into the nodes of a tree of days that cover them, and the
+  sides meet on (key, node) where a cover holds the other's start, so each pair
+  is produced once and a long interval is a dozen rows.  A hot key is split by
+  time; AQE splits a hot (key, node) further, as the exchanges are the join's own.
 * ``keep_latest`` is a top-1 per key with a partial (map-side) limit, so
   duplicate (key, start) rows are cut down before any shuffle.
 * ``close_segments`` is a ``lead`` per key.  After ``keep_latest`` a
@@ -20,52 +20,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 OPEN_END = "9999-12-31"
-_EPOCH = "1970-01-01"
 
 
-def _bin(d: Column, bin_days: int) -> Column:
-    return F.floor(F.datediff(d, F.to_date(F.lit(_EPOCH))) / F.lit(bin_days)).cast("long")
+#: A leaf of the tree of days holds ``LEAF_DAYS`` days, a node above ``FAN`` of the level below.
+FAN, LEAF_DAYS = 4, 128
+
+
+def _covering(way: int) -> str:
+    """The nodes that make up the leaves from _ovl_a to _ovl_b and share none: of leaves, their parents (whole
+    ones from _ovl_p up to before _ovl_q) and grandparents (_ovl_r, _ovl_t), what no whole node above holds.
+    A node's number is its place on its level, 8 times, and its level and ``way``."""
+    def run(level: int, first: str, last: str) -> str:
+        own = level + 4 * way
+        return f"IF({first} < {last}, sequence({first} * 8 + {own}, ({last} - 1) * 8 + {own}, 8L), array())"
+
+    edges = f"{run(0, '_ovl_a', f'_ovl_p * {FAN}')}, {run(0, f'_ovl_q * {FAN}', '(_ovl_b + 1)')}"
+    upper = f"{run(1, '_ovl_p', f'_ovl_r * {FAN}')}, {run(1, f'_ovl_t * {FAN}', '_ovl_q')}, {run(2, '_ovl_r', '_ovl_t')}"
+    return (f"CASE WHEN _ovl_b < _ovl_a THEN array() WHEN _ovl_p >= _ovl_q THEN {run(0, '_ovl_a', '(_ovl_b + 1)')} "
+            f"WHEN _ovl_r >= _ovl_t THEN concat({edges}, {run(1, '_ovl_p', '_ovl_q')}) ELSE concat({edges}, {upper}) END")
+
+
+def _above(way: int) -> str:
+    """The leaf _ovl_a, its parent and its grandparent, numbered like the nodes of a cover."""
+    return f"array({', '.join(f'_ovl_a div {FAN ** k} * 8 + {k + 4 * way}' for k in range(3))})"
+
+
+def _noded(df: DataFrame, start: str, end: str, last: Column, days: int) -> DataFrame:
+    """``df`` without null bounds, and the places of the interval in the tree (see ``_covering``).  Leaves
+    after ``last`` are one."""
+    leaf = lambda c: F.least(F.floor(F.datediff(F.col(c), F.to_date(F.lit("0001-01-01"))) / F.lit(days)), last + 1)
+    # an interval that ends before it starts covers nothing
+    ends = F.when(F.col(start) <= F.col(end), leaf(end)).otherwise(F.lit(-1).cast("bigint"))
+    rows = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select("*", leaf(start).alias("_ovl_a"), ends.alias("_ovl_b"))
+    return rows.selectExpr("*", f"(_ovl_a + {FAN - 1}) div {FAN} AS _ovl_p", f"(_ovl_b + 1) div {FAN} AS _ovl_q",
+                           f"(_ovl_a + {FAN * FAN - 1}) div {FAN * FAN} AS _ovl_r", f"(_ovl_b + 1) div {FAN * FAN} AS _ovl_t")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
                  left_start: str, left_end: str, right_start: str, right_end: str,
-                 bin_days: int = 91, bins_until: str | Column | None = None) -> DataFrame:
+                 bin_days: int = LEAF_DAYS) -> DataFrame:
     """Inner join of rows with equal ``keys`` whose inclusive date intervals
     overlap: ``right_start <= left_end and right_end >= left_start``.
 
     Column names other than ``keys`` must differ between the sides; the keys
     appear once in the output.  Rows with a null bound never match.
 
-    All days after ``bins_until`` share one bin, so that open ends such as
-    9999-12-31 do not explode.  Any day gives the same pairs; a day near the
-    latest start gives the fewest rows.  By default it is the latest start of
-    the right side, looked up by a scalar subquery of the same plan.
+    The later start of a pair lies in the other's interval.  So each side sends
+    the few nodes of a tree of days that cover its interval, and the nodes above
+    its start, and a pair meets where one's cover holds the other's start: once,
+    as a cover's nodes share no day.  ``bin_days`` is the size of a leaf.  Days
+    after the right side's last start (a scalar subquery of the same plan) share
+    a leaf, so open ends such as 9999-12-31 cost no more than others.
     """
-    if bins_until is None:
-        bins_until = right.agg(F.max(right_start)).scalar()
-    until = bins_until if isinstance(bins_until, Column) else F.to_date(F.lit(str(bins_until)))
-    # without any right start there is no pair; any day will do
-    last = _bin(F.coalesce(until, F.to_date(F.lit(_EPOCH))), bin_days)
-
-    def bin_of(day: Column) -> Column:
-        return F.least(_bin(day, bin_days), last + 1)
-
-    def binned(df: DataFrame, s: str, e: str, name: str) -> DataFrame:
-        lo, hi = bin_of(F.col(s)), bin_of(F.col(e))
-        bins = F.when(F.col(s).isNotNull() & F.col(e).isNotNull(), F.sequence(lo, F.greatest(lo, hi)))
-        return df.withColumn(name, F.explode(bins))
-
-    lb = binned(left, left_start, left_end, "_ovl_lbin")
-    rb = binned(right, right_start, right_end, "_ovl_rbin")
-    rb = rb.select(*[F.col(k).alias(f"_ovl_r_{k}") for k in keys],
-                   *[c for c in rb.columns if c not in keys])
-    start, _ = clip(left_start, left_end, right_start, right_end)
+    latest = F.datediff(right.agg(F.max(right_start)).scalar(), F.to_date(F.lit("0001-01-01")))
+    # without any right start there is no pair; any leaf will do
+    last = F.coalesce(F.floor(latest / F.lit(bin_days)), F.lit(0).cast("bigint"))
+
+    def sent(df: DataFrame, s: str, e: str, cover: int, node: str) -> DataFrame:
+        # covers of one side meet starts of the other
+        nodes = F.expr(f"explode(concat({_covering(cover)}, {_above(1 - cover)}))")
+        return _noded(df, s, e, last, bin_days).select(*df.columns, nodes.alias(node))
+
+    lb = sent(left, left_start, left_end, 0, "_ovl_l")
+    rb = sent(right, right_start, right_end, 1, "_ovl_r")
+    rb = rb.select(*[F.col(k).alias(f"_ovl_r_{k}") for k in keys], *[c for c in rb.columns if c not in keys])
     cond = [F.col(k) == F.col(f"_ovl_r_{k}") for k in keys]
-    cond += [F.col("_ovl_lbin") == F.col("_ovl_rbin"),
+    cond += [F.col("_ovl_l") == F.col("_ovl_r"),
              F.col(right_start) <= F.col(left_end), F.col(right_end) >= F.col(left_start),
-             bin_of(start) == F.col("_ovl_lbin")]
+             (F.col(right_start) >= F.col(left_start)) == (F.col("_ovl_l").bitwiseAND(4) == 0)]
     joined = lb.join(rb, cond, "inner")
-    return joined.drop("_ovl_lbin", "_ovl_rbin", *[f"_ovl_r_{k}" for k in keys])
+    return joined.drop("_ovl_l", "_ovl_r", *[f"_ovl_r_{k}" for k in keys])
 
 
 def clip(left_start: str, left_end: str, right_start: str, right_end: str):

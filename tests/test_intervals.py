@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from strata.operators.intervals import (close_segments, keep_latest, overlap_join,
+from strata.operators.intervals import (FAN, LEAF_DAYS, _above, _covering, _noded, close_segments, keep_latest, overlap_join,
                                         study_window)
 
 D = dt.date
@@ -61,14 +61,48 @@ def test_overlap_join_matches_brute_force_with_hot_key(spark):
         assert _pairs(out.select("lid", "rid")) == _brute(left, right)
 
 
-def test_any_last_bin_gives_the_same_pairs(spark):
-    left = spark.createDataFrame([(1, D(2020, 1, 1), D(2021, 12, 31))], "k int, ls date, le date")
-    right = spark.createDataFrame([(1, D(2021, 6, 1), D(2021, 7, 1)), (1, D(2022, 1, 1), D(9999, 12, 31))], "k int, rs date, re date")
-    for day in (None, "1970-01-01", "2020-06-30", "2021-06-15", "2100-01-01"):
-        out = overlap_join(left, right, ["k"], "ls", "le", "rs", "re", bins_until=day)
-        assert [r.rs for r in out.collect()] == [D(2021, 6, 1)]
-    none = overlap_join(left, right.limit(0), ["k"], "ls", "le", "rs", "re")
-    assert none.collect() == []
+def test_long_open_and_one_day_intervals(spark):
+    rng = random.Random(8)
+    far = [D(1, 1, 1), D(1969, 12, 31), D(2013, 12, 30), D(2020, 2, 29), D(9999, 12, 31)]
+
+    def interval():
+        s = rng.choice([rng.choice(far), D(2013, 1, 1) + dt.timedelta(days=rng.randrange(4000))])
+        e = rng.choice([s, s, D(9999, 12, 31), min(D(9999, 12, 31) - dt.timedelta(days=9000), s) + dt.timedelta(days=rng.randrange(9000)), rng.choice(far)])
+        return s, e
+
+    left = [(i % 3, f"l{i}", *interval()) for i in range(150)]
+    right = [(i % 3, f"r{i}", *interval()) for i in range(150)]
+    ldf = spark.createDataFrame(left, "k int, lid string, ls date, le date")
+    rdf = spark.createDataFrame(right, "k int, rid string, rs date, re date")
+    for days in (1, 64, 100_000):
+        assert _pairs(overlap_join(ldf, rdf, ["k"], "ls", "le", "rs", "re", bin_days=days).select("lid", "rid")) == _brute(left, right)
+    late = rdf.where("rs between '2013-01-01' and '2025-12-31' and re < '9000-01-01'")
+    assert _pairs(overlap_join(ldf, late, ["k"], "ls", "le", "rs", "re").select("lid", "rid")) == _brute(left, [tuple(r) for r in late.collect()])
+    assert overlap_join(ldf, rdf.limit(0), ["k"], "ls", "le", "rs", "re").collect() == []
+
+
+def test_ten_years_are_a_dozen_nodes(spark):
+    day = D(2011, 3, 5)
+    rows = [(day, day), (day, day + dt.timedelta(3652)), (day, day - dt.timedelta(1)), (D(1, 1, 1), D(9999, 12, 31)), (day, day + dt.timedelta(700))]
+    df = spark.createDataFrame(rows, "s date, e date")
+    last = (D(2040, 1, 1) - D(1, 1, 1)).days // LEAF_DAYS
+    leaf = lambda d: min((d - D(1, 1, 1)).days // LEAF_DAYS, last + 1)
+    rows = _noded(df, "s", "e", F.lit(last).cast("long"), LEAF_DAYS).select("s", "e", F.expr(_covering(0)).alias("cover"), F.expr(_above(0)).alias("above"))
+    holds = lambda n: range(n // 8 * FAN ** (n % 4), (n // 8 + 1) * FAN ** (n % 4))
+    for r in rows.collect():
+        leaves = sorted(x for n in r.cover for x in holds(n))
+        assert leaves == (list(range(leaf(r.s), leaf(r.e) + 1)) if r.s <= r.e else [])
+        assert len(r.cover) <= 14 or r.s == D(1, 1, 1)
+        assert all(leaf(r.s) in holds(n) for n in r.above) and len(r.above) == 3
+
+
+def test_dates_after_2013_are_split_by_time(spark):
+    day = F.to_date(F.lit("2013-12-30"))
+    left = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("l"), F.date_add(day, F.col("id").cast("int")).alias("ls"))
+    left = left.withColumn("le", F.date_add("ls", 60))
+    right = left.select("k", F.col("l").alias("r"), F.col("ls").alias("rs"), F.col("le").alias("re"))
+    out = overlap_join(left, right, ["k"], "ls", "le", "rs", "re")
+    assert out.count() == sum(min(i + 60, 3999) - max(i - 60, 0) + 1 for i in range(4000))
 
 
 def test_hot_key_and_bin_is_split(spark):
