@@ -28,12 +28,12 @@ COARSE_AGE_ABOVE = (64, 11)
 
 
 def _banded(age_text, bands, above, age_int=None) -> Column:
+    """The code is looked up by the age itself, which costs the same for every band."""
     age = safe_int(age_text) if age_int is None else age_int
-    expr = None
+    codes = ["NULL"] * (above[0] + 1)
     for lo, hi, code in bands:
-        cond = age.between(lo, hi)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr.when(age > above[0], F.lit(above[1]))
+        codes[lo:hi + 1] = [str(code)] * (hi + 1 - lo)
+    return F.when(age > above[0], F.lit(above[1])).otherwise(F.get(F.expr(f"array({', '.join(codes)})"), age))
 
 
 def fine_age_band(age_text=None, age_int: Column | None = None) -> Column:
