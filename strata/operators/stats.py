@@ -3,8 +3,7 @@
 Everything is a grouped aggregation (partial aggregation on the map side, so
 hot keys are combined before the shuffle) or a top-k (TakeOrderedAndProject,
 no global sort).  Scalars a statistic depends on (totals, min/max) are scalar
-subqueries of the same plan, so building a plan starts no job; ``density_grid``
-alone runs one aggregate job, as its grid is made in Python.
+subqueries of the same plan, so building a plan starts no job.
 """
 
 from __future__ import annotations
@@ -215,51 +214,61 @@ def box_stats(df: DataFrame, column: str, by: list[str] | None = None,
 
 # --------------------------------------------------------------------------- density
 
+#: Bandwidths that a box is wide, moments that it keeps, and bandwidths beyond which it is not evaluated.
+BOX, MOMENTS, REACH = 0.5, 14, 9.0
+
+
 def density_grid(df: DataFrame, column: str, points: int = 1000) -> DataFrame:
-    """Gaussian kernel density on an even grid (exact, no kernel truncation).
+    """Gaussian kernel density on an even grid, by a fast Gauss transform.
 
     Bandwidth: Scott's rule, ``n^(-1/5) * std`` (sample std).  Grid: ``points``
-    values from min - range/2 to max + range/2.  The data is first collapsed
-    to (value, count) pairs; each task then evaluates its share of pairs
-    against the whole grid with NumPy (``mapInPandas``) and emits one partial
-    sum per grid point, which a grouped sum combines.  The grid has a fixed
-    size, so per-task memory is bounded by batch size x ``points``.  The cost
-    is distinct values x ``points`` evaluations; values are not binned.
+    values from min - range/2 to max + range/2.  Values fall into boxes of half a
+    bandwidth; each box keeps the sums of the first ``MOMENTS`` powers of the
+    values' places in it, one partially aggregated pass.  They are the
+    coefficients of its kernels' sum in Hermite functions, which is evaluated at
+    the grid points within ``REACH`` bandwidths: about ``REACH / BOX * points``
+    evaluations, however many rows.  A kernel (1 at its peak) is off by less than
+    1.09 * 0.25**14 / sqrt(14!) * 1.07 = 2e-14 by the terms left out, and by
+    2.6e-18 by boxes out of reach.
+
+    A column without two distinct values has no bandwidth: its grid has null
+    densities, and without values null places as well.
     """
-    import numpy as np
-    import pandas as pd
-
-    v = F.col(column).cast("double")
-    st = df.agg(F.count(v).alias("n"), F.stddev_samp(v).alias("sd"),
-                F.min(v).alias("lo"), F.max(v).alias("hi")).first()
-    n, sd, lo, hi = st["n"], st["sd"], st["lo"], st["hi"]
-    spark = df.sparkSession
-    if not n or sd is None or sd == 0 or hi == lo:
-        raise ValueError("density needs at least two distinct values")
-    bw = float(sd) * n ** (-0.2)
-    pad = (hi - lo) / 2.0
-    g_lo, g_hi = lo - pad, hi + pad
-    step = (g_hi - g_lo) / (points - 1)
-    grid = g_lo + np.arange(points, dtype="float64") * step
-    norm = 1.0 / (n * bw * math.sqrt(2.0 * math.pi))
-
-    pairs = df.filter(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-
-    def partial(batches):
-        acc = np.zeros(points, dtype="float64")
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            vals = pdf["_v"].to_numpy(dtype="float64")
-            cnt = pdf["_c"].to_numpy(dtype="float64")
-            z = (grid[None, :] - vals[:, None]) / bw
-            acc += (cnt[:, None] * np.exp(-0.5 * z * z)).sum(axis=0)
-        yield pd.DataFrame({"i": np.arange(points, dtype="int32"), "s": acc})
-
-    sums = pairs.mapInPandas(partial, "i int, s double").groupBy("i").agg(F.sum("s").alias("s"))
-    return sums.select(
-        "i", (F.lit(g_lo) + F.col("i").cast("double") * F.lit(step)).alias("x"),
-        (F.col("s") * F.lit(norm)).alias("density"))
+    values = df.select(F.col(column).cast("double").alias("_v")).where("_v IS NOT NULL")
+    stats_ = values.agg(F.struct(F.count("_v").alias("n"), F.stddev_samp("_v").alias("sd"),
+                                 F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("st")).scalar()
+    lo, hi, n = F.col("_st.lo"), F.col("_st.hi"), F.col("_st.n").cast("double")
+    bw = F.nullif(F.col("_st.sd") * F.pow(n, F.lit(-0.2)), F.lit(0.0))
+    first, step = lo - (hi - lo) / 2, (hi - lo) * 2 / (points - 1)
+    rows = values.select("_v", stats_.alias("_st")).select("_v", lo.alias("_lo"), bw.alias("_bw")).where("_bw IS NOT NULL")
+    rows = rows.select("_v", "_lo", "_bw", F.floor((F.col("_v") - F.col("_lo")) / (F.col("_bw") * BOX)).alias("_box"))
+    centre = F.col("_lo") + (F.col("_box") + 0.5) * F.col("_bw") * BOX
+    rows = rows.select("_box", ((F.col("_v") - centre) / (F.col("_bw") * math.sqrt(2))).alias("_t"))
+    power = [F.lit(1.0), F.col("_t")]
+    for k in range(2, MOMENTS):
+        power.append(power[k // 2] * power[k - k // 2])
+    boxes = rows.groupBy("_box").agg(*[F.sum(x).alias(f"_m{k}") for k, x in enumerate(power)])
+
+    # each box at the grid points in its reach
+    boxes = boxes.select("_box", F.array(*[f"_m{k}" for k in range(MOMENTS)]).alias("_m"), stats_.alias("_st"))
+    boxes = boxes.select("_m", lo.alias("_lo"), bw.alias("_bw"), "_box", first.alias("_first"), step.alias("_step"))
+    boxes = boxes.withColumn("_c", centre)
+    near = [(F.col("_c") + sign * (REACH + BOX) * F.col("_bw") - F.col("_first")) / F.col("_step") for sign in (-1, 1)]
+    boxes = boxes.withColumn("_a", F.greatest(F.ceil(near[0]), F.lit(0))).withColumn("_b", F.least(F.floor(near[1]), F.lit(points - 1)))
+    at = boxes.where("_a <= _b").withColumn("i", F.explode(F.sequence("_a", "_b")))
+    y = (F.col("_first") + F.col("i") * F.col("_step") - F.col("_c")) / (F.col("_bw") * math.sqrt(2))
+    at = at.select("i", "_m", y.alias("_y"))
+    # Hermite functions by their recurrence: next = 2 y h - 2 n before
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("before"), F.exp(-F.col("_y") * F.col("_y")).alias("h"),
+                    F.lit(0.0).alias("n"), F.lit(1.0).alias("f"))
+    total = F.aggregate("_m", zero, lambda a, m: F.struct(
+        (a["s"] + m / a["f"] * a["h"]).alias("s"), a["h"].alias("before"), (F.col("_y") * 2 * a["h"] - a["n"] * 2 * a["before"]).alias("h"),
+        (a["n"] + 1).alias("n"), (a["f"] * (a["n"] + 1)).alias("f")), lambda a: a["s"])
+    sums = at.groupBy("i").agg(F.sum(total).alias("_s"))
+
+    grid = df.sparkSession.range(points).select(F.col("id").alias("i"), stats_.alias("_st"))
+    grid = grid.select("i", (first + F.col("i").cast("double") * step).alias("x"), (1 / (n * bw * math.sqrt(2 * math.pi))).alias("_norm"))
+    return grid.join(sums, "i", "left").select(F.col("i").cast("int").alias("i"), "x", (F.coalesce("_s", F.lit(0.0)) * F.col("_norm")).alias("density"))
 
 
 # --------------------------------------------------------------------------- scatter

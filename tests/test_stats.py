@@ -133,9 +133,10 @@ def test_bounded_positions(spark):
 
 
 def test_density(spark):
-    const = spark.createDataFrame([(1.0,), (1.0,)], "v double")
-    with pytest.raises(ValueError):
-        stats.density_grid(const, "v")
+    const = stats.density_grid(spark.createDataFrame([(1.0,), (1.0,), (None,)], "v double"), "v", points=5).collect()
+    assert [(r.x, r.density) for r in const] == [(1.0, None)] * 5
+    none = stats.density_grid(spark.createDataFrame([], "v double"), "v", points=5).collect()
+    assert [(r.x, r.density) for r in none] == [(None, None)] * 5
     import numpy as np
     data = np.array([0.0, 1.0, 1.0, 4.0])
     df = spark.createDataFrame([(float(x),) for x in data], "v double")
@@ -147,6 +148,19 @@ def test_density(spark):
     assert len(d) == 200 and d[0].x == -2.0 and math.isclose(d[-1].x, 6.0)
 
 
+def test_density_of_continuous_and_far_values(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for data in (rng.normal(size=4000), np.r_[rng.gamma(2, 3, 3000), 1e9], np.r_[-1e-12, 0, 1e-12]):
+        df = spark.createDataFrame([(float(x),) for x in data], "v double")
+        bw = data.std(ddof=1) * len(data) ** (-0.2)
+        peak = 1 / (bw * math.sqrt(2 * math.pi))
+        for r in stats.density_grid(df, "v", points=150).collect():
+            want = np.exp(-0.5 * ((r.x - data) / bw) ** 2).sum() / (len(data) * bw * math.sqrt(2 * math.pi))
+            assert abs(r.density - want) <= 2e-13 * peak, (r.x, r.density, want)
+
+
 def test_rows_at_max_keeps_ties(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 7.0)], "id int, r double")
     assert sorted(r.id for r in stats.rows_at_max(df, "r").collect()) == [2, 3]
