@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from strata.llm import queries, secret_scan
@@ -55,12 +56,57 @@ def test_candidates_are_the_texts_with_all_trigrams(spark):
     got = {(r.doc_id, k) for r in found.collect() for k in r.rules}
     low = [t.translate(str.maketrans(secret_scan._UPPER, secret_scan._LOWER)) for t in TEXTS]
     want = {(i, k) for i, t in enumerate(low) for k, r in enumerate(secret_scan.RULES)
-            if any(all(g in t for g in secret_scan.trigrams(w)) for w in r.words)}
+            if r.kind != "hex" and any(all(g in t for g in a) for a in secret_scan.query_of(r.pattern))}
     assert got == want
     matched = {(i, k) for i, t in enumerate(TEXTS) for _, k, *_ in spans(t, ALL)}
     assert {m for m in matched if m[1] != 2} <= got  # the index loses no match
 
 
+def asked(pattern):
+    return sorted(sorted(a) for a in secret_scan.query_of(pattern))
+
+
+def test_queries_of_patterns():
+    grams = lambda *words: sorted(set().union(*map(secret_scan.trigrams, words)))
+    assert asked("-----BEGIN [A-Z ]*PRIVATE KEY-----") == [grams("-----begin ", "private key-----")]
+    assert asked("(?:[tT]oken|SECRET)=") == sorted([grams("token="), grams("secret=")])
+    assert asked("ab?cd[xy]") == sorted([grams("abcdx"), grams("abcdy"), grams("acdx"), grams("acdy")])
+    assert asked("a{3}(foo)+b*end") == [grams("aaa", "foo", "end")]
+    # nothing is certain, or the syntax is Java's
+    for pattern in ("[0-9a-f]{16,}", "abc|x", "(abc)?", "ab", r"\p{L}abc", "[a-z&&[^b]]abc", r"abc\vdef", "(?iu)abc", "(?x) a b c", "(abc", "[a[bc]]def"):
+        assert asked(pattern) == [[]], pattern
+
+
+def test_random_patterns_lose_no_match():
+    rng = random.Random(9)
+
+    def make(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return "".join(rng.choice("abAB1") for _ in range(rng.randrange(1, 5)))
+        kind = rng.randrange(6)
+        if kind == 0:
+            return make(depth - 1) + make(depth - 1)
+        if kind == 1:
+            return f"(?:{make(depth - 1)}|{make(depth - 1)})"
+        if kind == 2:
+            return f"({make(depth - 1)}){rng.choice(['?', '*', '+', '{2}', '{0,2}', '{1,3}', '{2,}', '+?', '{0}'])}"
+        if kind == 3:
+            return rng.choice(["[ab]", "[^a]", ".", "[a-d1]", "b*", "a+", "^", r"\\b", r"(?i:Ab)", "(?=a)", r"\\d"]) + make(depth - 1)
+        return make(depth - 1) + rng.choice(["[AB]", "1?", "(a|b|)", "[aB]{2}"]) + make(depth - 1)
+
+    found = 0
+    for _ in range(3000):
+        pattern = make(4).replace("\\\\", "\\")
+        rule, query = re.compile(pattern, re.A), secret_scan.query_of(pattern)
+        for _ in range(8):
+            text = "".join(rng.choice("abAB1c") for _ in range(rng.randrange(24)))
+            if rule.search(text):
+                low = text.lower()
+                assert any(all(g in low for g in a) for a in query), (pattern, text)
+                found += frozenset() not in query
+    assert found > 100
+
+
 def test_edge_rows(edge, edge_rows):
     out = secret_scan.scan(edge)
     assert out.columns == edge.columns + ["secrets"] and out.count() == len(edge_rows)
