@@ -8,19 +8,23 @@ layer scores the weighted sum.  All of it is learned from document labels alone,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import texts
+from strata.llm.store import stored
 
 PASSAGE = 64
 #: Learned from about so many labelled documents, drawn by a hash of the id.
 TRAIN_DOCS = 6000
+#: Passages of theirs that reach the driver, some 600 bytes each.
+TRAIN_PASSAGES = 250_000
 HIDDEN, GATE, EPOCHS, BATCH, RATE, DECAY, SEED = 24, 12, 25, 128, 4e-3, 1e-4, 7
 PAIRS = 128
 
@@ -143,29 +147,51 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in texts.chunks(batch, "text"):
             x, cuts = passages(*texts.buffers(part.column(2)))
             bags = [x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bags, pa.binary())], ["draw", "label", "bag"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.diff(cuts)), pa.array(bags, pa.binary())],
+                                             ["draw", "label", "n", "bag"])
+
+
+def _every(step: int):
+    """Every ``step``-th passage of each bag, the first included."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bags = [np.frombuffer(x.as_buffer(), np.float32).reshape(-1, N_FEATURES)[::step].tobytes() for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], ["draw", "label", "bag"])
+
+    return run
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
-        train_docs: int = TRAIN_DOCS) -> dict:
+        train_docs: int = TRAIN_DOCS, train_passages: int = TRAIN_PASSAGES) -> dict:
     """Learn from ``docs`` joined with ``labels`` on ``doc_id``.
 
     About ``train_docs`` labelled documents are drawn by a hash of the id before the join; their
-    passage features are all that reaches the driver.  Null labels don't count; of several labels of
-    one id the mean decides, 1 from a half.
+    passage features are all that reaches the driver, ``train_passages`` and one a document at most: if
+    they have more, every second, third, ... passage of each is learned from.  Null labels don't count;
+    of several labels of one id the mean decides, 1 from a half.
     """
     draw = F.xxhash64(F.col(f"`{doc_id}`"), F.lit(SEED))
     given = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{doc_id}`").isNotNull())
-    share = min(1.0, train_docs / max(1, given.count()))
-    few = F.pmod(draw, F.lit(1_000_000)) < int(share * 1_000_000)
+    few = drawn(draw, min(1.0, train_docs / max(1, given.count())))
     given = given.where(few).groupBy(F.col(f"`{doc_id}`").alias("id")).agg((F.avg(F.col(f"`{label}`")) >= 0.5).cast("long").alias("label"))
     rows = docs.where(few).select(F.col(f"`{doc_id}`").alias("id"), draw.alias("draw"), F.col(f"`{text}`").alias("text"))
-    bags = rows.join(given, "id").select("draw", "label", "text").mapInArrow(texts.tidy(_bags), "draw long, label long, bag binary")
-    found = bags.toArrow()
+    bags = rows.join(given, "id").select("draw", "label", "text").mapInArrow(texts.tidy(_bags), "draw long, label long, n long, bag binary")
+    bags = stored(bags, "bags")
+    step = -(-(bags.agg(F.sum("n")).first()[0] or 0) // train_passages) or 1
+    found = bags.select("draw", "label", "bag").mapInArrow(_every(step), "draw long, label long, bag binary").toArrow()
     rows = sorted(zip(found["draw"].to_pylist(), found["bag"].to_pylist(), found["label"].to_pylist()))
     return train([np.frombuffer(bag, np.float32).reshape(-1, N_FEATURES) for _, bag, _ in rows], np.array([y for *_, y in rows]))
 
 
+#: Steps of a draw: fine enough for one row in 10**15.
+DRAW_STEPS = 1 << 53
+
+
+def drawn(hash_: Column, share: float) -> Column:
+    """Whether a row with this 64-bit hash is among about ``share`` of all."""
+    return F.pmod(hash_, F.lit(DRAW_STEPS)) < F.lit(math.ceil(share * DRAW_STEPS))
+
+
 FIELDS = [T.StructField("quality_score", T.DoubleType(), False), T.StructField("n_passages", T.LongType(), False),
           T.StructField("top_attention", T.DoubleType(), False)]
 

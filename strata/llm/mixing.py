@@ -2,7 +2,9 @@
 
 Documents fall into cells (source, language, topic).  The tokens of the cells are raked: in turn,
 the cells of each source, of each language and of each topic are scaled to that margin's target,
-until all margins fit.  A document's inclusion probability is its cell's raked tokens over its
+until all margins fit or a number of sweeps is done.  Targets that contradict each other (a source
+that holds one language alone, with another share than that language) can't all be met: then the margin
+raked last fits, the others come to lie between, and ``misfits`` says by how much.  A document's inclusion probability is its cell's raked tokens over its
 tokens, scaled so that the largest is 1; a hash of the id decides, so a draw can be repeated.
 """
 
@@ -50,7 +52,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
 
     ``targets`` has (dim, target) for each margin; values without a target get weight 0.  Each step is
     a map-side sum by one margin, joined back and written, as a plan that held several would double
-    with every step.  A sweep over all margins that moves none by more than ``tolerance`` is the last.
+    with every step.  A sweep over all margins that moves none by more than ``tolerance`` is the last;
+    without such a sweep, the margin of the last of ``targets`` fits alone (see ``misfits``).
     """
     for dim, target in targets.items():
         cells = cells.join(target.withColumnRenamed("target", f"t_{dim}"), dim, "left")
@@ -69,6 +72,19 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
     return cells.drop(*[f"t_{d}" for d in targets])
 
 
+def misfits(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """How well raked ``cells`` meet their targets: a row (margin, value, target, reached, misfit) for each
+    value of a target or of the cells; ``misfit`` is reached - target, shares of all."""
+    rows = []
+    for dim, target in targets.items():
+        reached = cells.groupBy(F.col(dim).alias("value")).agg(F.sum("weight").alias("reached"))
+        both = target.select(F.col(dim).alias("value"), "target").join(reached, "value", "full")
+        got, want = F.coalesce("reached", F.lit(0.0)), F.coalesce("target", F.lit(0.0))
+        rows.append(both.select(F.lit(dim).alias("margin"), F.col("value").cast("string").alias("value"), want.alias("target"),
+                                got.alias("reached"), (got - want).alias("misfit")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def probabilities(cells: DataFrame) -> DataFrame:
     """``cells`` with ``prob``: raked over own tokens, the largest 1."""
     rate = cells.withColumn("rate", F.col("weight") / F.col("tokens"))

@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from strata.llm import mil, queries, texts
 
@@ -55,6 +56,43 @@ def test_passages_cover_whole_texts():
     assert not x[0].any() and x[4].any() and not x[5].any()
 
 
+def test_scores_against_plain_loops():
+    rng = np.random.default_rng(4)
+    made = mil.train([rng.normal(0, 1, (3, mil.N_FEATURES)).astype(np.float32) for _ in range(8)], np.arange(8) % 2)
+    body = [" ".join(f"w{rng.integers(50)}" for _ in range(n)) for n in (0, 5, 64, 65, 400)]
+    x, cuts = mil.passages(*texts.buffers(pa.array(body)))
+    score, n, top = mil.score_texts(*texts.buffers(pa.array(body)), made)
+    p = {k: np.asarray(v, float) for k, v in made.items()}
+    sig = lambda t: 1 / (1 + np.exp(-t))
+    for i in range(len(body)):
+        coded, gate = [], []
+        for row in x[cuts[i]:cuts[i + 1]]:
+            h = np.tanh(p["b"] + sum(((row[j] - p["mean"][j]) * p["scale"][j]) * p["W"][j] for j in range(mil.N_FEATURES)))
+            coded.append(h)
+            gate.append(float(p["w"] @ (np.tanh(h @ p["V"]) * sig(h @ p["U"]))))
+        weight = np.exp(np.array(gate) - max(gate))
+        weight /= weight.sum()
+        want = sig(sum(a * h for a, h in zip(weight, coded)) @ p["c"] + p["d"][0])
+        assert abs(score[i] - want) < 1e-6 and n[i] == len(coded) and abs(top[i] - weight.max()) < 1e-6
+
+
+def test_small_shares_still_draw(spark):
+    ids = spark.range(300_000).select(F.xxhash64("id").alias("h"))
+    for share in (1e-9, 1e-4, 0.3, 1.0):
+        assert abs(ids.where(mil.drawn(F.col("h"), share)).count() - 300_000 * share) <= 1 + 5 * (300_000 * share) ** 0.5
+    assert spark.range(1).select(mil.drawn(F.lit(0).cast("long"), 1e-14)).first()[0]
+
+
+def test_passages_to_the_driver_are_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} " * n) for i, n in enumerate([10, 64 * 400, 64 * 30, 0])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality long")
+    seen = []
+    monkeypatch.setattr(mil, "train", lambda bags, y: seen.append(([len(b) for b in bags], y.tolist())))
+    mil.fit(docs, labels, train_passages=50)
+    mil.fit(docs, labels)
+    assert sorted(seen[0][0]) == [1, 1, 4, 45] and sorted(seen[1][0]) == [1, 1, 30, 400]
+
+
 def test_edge_rows_and_no_labels(spark, edge, edge_rows, empty):
     labels = spark.createDataFrame([(8, 1), (9, 0), (9, None), (11, 0), (None, 1), (8, 0), (8, 1)], "doc_id long, quality long")
     p = mil.fit(edge, labels)

@@ -43,6 +43,22 @@ def test_value_without_target_gets_nothing(spark):
     assert {r.source: r.weight for r in out.collect()} == {"a": 1.0, "b": 0.0}
 
 
+def test_misfits_of_targets_that_contradict(spark):
+    # each source holds one language, with another target share
+    cells = spark.createDataFrame([("a", "x", 50), ("b", "y", 50)], "source string, lang string, tokens long")
+    targets = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, target double"),
+               "lang": spark.createDataFrame([("x", 0.3), ("y", 0.6), ("z", 0.1)], "lang string, target double")}
+    raked = mixing.rake(cells, targets, sweeps=3)
+    found = {(r.margin, r.value): r for r in mixing.misfits(raked, targets).collect()}
+    assert {k: r.target for k, r in found.items()} == {("source", "a"): 0.9, ("source", "b"): 0.1, ("lang", "x"): 0.3, ("lang", "y"): 0.6, ("lang", "z"): 0.1}
+    assert found["lang", "x"].misfit == pytest.approx(0) and found["lang", "y"].misfit == pytest.approx(0)
+    assert found["lang", "z"].misfit == pytest.approx(-0.1) and found["source", "a"].misfit == pytest.approx(-0.6)
+    assert found["source", "b"].reached == pytest.approx(0.6)
+    # and of targets that agree, none
+    fits = {"source": targets["source"], "lang": spark.createDataFrame([("x", 0.9), ("y", 0.1)], "lang string, target double")}
+    assert all(abs(r.misfit) < 1e-9 for r in mixing.misfits(mixing.rake(cells, fits), fits).collect())
+
+
 def test_edge_rows(edge, edge_rows):
     out = mixing.mix(edge)
     assert out.columns == edge.columns + NEW and out.count() == len(edge_rows)
