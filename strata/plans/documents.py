@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.operators.codebook import remap_by_table
 from strata.plans.tables import Tables
-from strata.sources.writers import peek, row_count
+from strata.sources.writers import row_count
 
 PROPS_SCHEMA = "k int"
 HAVING_MIN = 100
-PEEK_ROWS = 50
+CODED_SIZE = 25
 
 
 def event_documents(t: Tables) -> DataFrame:
@@ -50,13 +51,22 @@ def nested_avg(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def struct_array_select(spark: SparkSession, sf: str) -> DataFrame:
-    """A whole struct, an array and a nested field in one projection, the first rows by key."""
+    """A whole struct, an array and a nested field in one projection."""
     t = Tables(spark, sf)
     docs = order_documents(t).withColumn("customer", F.struct(F.col("o_custkey").alias("key"), (F.col("o_custkey") % 7).alias("group")))
-    rows = peek(docs.select("o_orderkey", "customer", "flags", "customer.group"), PEEK_ROWS, [F.col("o_orderkey")])
+    rows = docs.select("o_orderkey", "customer", "flags", "customer.group")
     return rows.select("o_orderkey", F.to_json("customer").alias("customer"), array_text("flags").alias("flags"), "group")
 
 
+def remap_part_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Each order's part keys as an array, mapped by a codebook that is a table: the brands of the parts
+    up to a size; other keys stay."""
+    t = Tables(spark, sf)
+    keys = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.col("l_partkey").cast("string"))).alias("codes"))
+    brands = t.part.where(F.col("p_size") <= CODED_SIZE).select(F.col("p_partkey").cast("string").alias("code"), F.col("p_brand").alias("sequence"))
+    return remap_by_table(keys, "codes", brands).select("l_orderkey", array_text("codes").alias("codes"))
+
+
 def array_group_count(spark: SparkSession, sf: str) -> DataFrame:
     docs = order_documents(Tables(spark, sf))
     counts = docs.groupBy("flags").count()
@@ -81,6 +91,7 @@ QUERIES = {
     "nested_avg": nested_avg,
     "struct_array_select": struct_array_select,
     "array_group_count": array_group_count,
+    "remap_part_codes": remap_part_codes,
     "sql_having": sql_having,
     "document_count": document_count,
 }
@@ -94,10 +105,14 @@ ORACLE = {
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
     "nested_avg": """
 SELECT avg(CAST(json_extract(props, '$.k') AS INTEGER)) AS avg_k FROM events""",
-    "struct_array_select": _FLAGS.replace("SELECT o_orderkey, flags", "SELECT o_orderkey, o_custkey, flags") + f"""
-SELECT o_orderkey, '{{"key":' || o_custkey || ',"group":' || (o_custkey % 7) || '}}' AS customer,
+    "struct_array_select": _FLAGS.replace("SELECT o_orderkey, flags", "SELECT o_orderkey, o_custkey, flags") + """
+SELECT o_orderkey, '{"key":' || o_custkey || ',"group":' || (o_custkey % 7) || '}' AS customer,
        CASE WHEN flags IS NOT NULL THEN '[' || array_to_string(flags, ', ') || ']' END AS flags, o_custkey % 7 AS "group"
-FROM d ORDER BY o_orderkey LIMIT {PEEK_ROWS}""",
+FROM d""",
+    "remap_part_codes": f"""
+SELECT l_orderkey, '[' || string_agg(CASE WHEN p_size <= {CODED_SIZE} THEN p_brand ELSE l_partkey::VARCHAR END, ', '
+       ORDER BY encode(l_partkey::VARCHAR)) || ']' AS codes
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey""",
     "array_group_count": _FLAGS + """
 SELECT CASE WHEN flags IS NOT NULL THEN '[' || array_to_string(flags, ', ') || ']' END AS flags,
        count(*) AS n FROM d GROUP BY d.flags""",
