@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch folder only if it is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; if it is unset, a scratch folder of a local session
+    (tests), and an error on a cluster, where executors would not see such a folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master) is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-llm-"))
         named = spark.sparkContext.getCheckpointDir()
     return named
