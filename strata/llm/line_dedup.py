@@ -131,7 +131,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_
     names = [c for c in docs.columns if c.lower() != "n_removed"]
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), k1, k2).join(runs, _DOC, "left")
     old = F.col("row").getField(text)
-    kept = F.filter(_split(old), lambda x, p: ~F.exists("runs", lambda r: (p >= r["from"]) & (p < r["to"])))
+    rows = rows.withColumn("lines", F.when(F.col("runs").isNotNull(), _split(old)))
+    # the runs ascend and don't meet: what stays lies before, between and after them
+    past = lambda i: F.coalesce(F.get("runs", i - 1)["to"], F.lit(0))
+    kept = F.flatten(F.transform("runs", lambda r, i: F.slice("lines", past(i) + 1, F.greatest(r["from"] - past(i), F.lit(0)))))
+    kept = F.concat(kept, F.slice("lines", past(F.size("runs")) + 1, F.size("lines")))
     new = F.when(F.col("runs").isNull(), old).otherwise(F.array_join(kept, "\n"))
     return rows.select(*[(new if c == text else F.col("row").getField(c)).alias(c) for c in names],
                        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"))
