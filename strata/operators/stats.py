@@ -240,22 +240,20 @@ def density_grid(df: DataFrame, column: str, points: int = 1000) -> DataFrame:
     lo, hi, n = F.col("_st.lo"), F.col("_st.hi"), F.col("_st.n").cast("double")
     bw = F.nullif(F.col("_st.sd") * F.pow(n, F.lit(-0.2)), F.lit(0.0))
     first, step = lo - (hi - lo) / 2, (hi - lo) * 2 / (points - 1)
-    rows = values.select("_v", stats_.alias("_st")).select("_v", lo.alias("_lo"), bw.alias("_bw")).where("_bw IS NOT NULL")
-    rows = rows.select("_v", "_lo", "_bw", F.floor((F.col("_v") - F.col("_lo")) / (F.col("_bw") * BOX)).alias("_box"))
-    centre = F.col("_lo") + (F.col("_box") + 0.5) * F.col("_bw") * BOX
-    rows = rows.select("_box", ((F.col("_v") - centre) / (F.col("_bw") * math.sqrt(2))).alias("_t"))
+    rows = values.select("_v", stats_.alias("_st")).withColumn("_bw", bw).where("_bw IS NOT NULL")
+    rows = rows.withColumn("_box", F.floor((F.col("_v") - lo) / (F.col("_bw") * BOX)))
+    centre = lo + (F.col("_box") + 0.5) * F.col("_bw") * BOX
+    rows = rows.select("_box", "_st", "_bw", ((F.col("_v") - centre) / (F.col("_bw") * math.sqrt(2))).alias("_t"))
     power = [F.lit(1.0), F.col("_t")]
     for k in range(2, MOMENTS):
         power.append(power[k // 2] * power[k - k // 2])
-    boxes = rows.groupBy("_box").agg(*[F.sum(x).alias(f"_m{k}") for k, x in enumerate(power)])
+    boxes = rows.groupBy("_box", "_st", "_bw").agg(F.array(*[F.sum(x) for x in power]).alias("_m"))
 
     # each box at the grid points in its reach
-    boxes = boxes.select("_box", F.array(*[f"_m{k}" for k in range(MOMENTS)]).alias("_m"), stats_.alias("_st"))
-    boxes = boxes.select("_m", lo.alias("_lo"), bw.alias("_bw"), "_box", first.alias("_first"), step.alias("_step"))
-    boxes = boxes.withColumn("_c", centre)
+    boxes = boxes.select("_m", "_bw", first.alias("_first"), step.alias("_step"), centre.alias("_c"))
     near = [(F.col("_c") + sign * (REACH + BOX) * F.col("_bw") - F.col("_first")) / F.col("_step") for sign in (-1, 1)]
-    boxes = boxes.withColumn("_a", F.greatest(F.ceil(near[0]), F.lit(0))).withColumn("_b", F.least(F.floor(near[1]), F.lit(points - 1)))
-    at = boxes.where("_a <= _b").withColumn("i", F.explode(F.sequence("_a", "_b")))
+    reach = [F.greatest(F.ceil(near[0]), F.lit(0)), F.least(F.floor(near[1]), F.lit(points - 1))]
+    at = boxes.select("*", F.explode(F.when(reach[0] <= reach[1], F.sequence(*reach))).alias("i"))
     y = (F.col("_first") + F.col("i") * F.col("_step") - F.col("_c")) / (F.col("_bw") * math.sqrt(2))
     at = at.select("i", "_m", y.alias("_y"))
     # Hermite functions by their recurrence: next = 2 y h - 2 n before

@@ -79,7 +79,7 @@ def test_histogram_and_share_invariants(spark):
 
 
 def test_building_a_query_starts_no_job(spark, monkeypatch):
-    """Over tables whose footers are read already; ``density_grid`` alone runs its statistics job."""
+    """Over tables whose footers are read already."""
     known = {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in DRIVER_TABLES}
     monkeypatch.setattr("strata.plans.tables.table", lambda _, __, name: known[name])
     started = {}
@@ -88,7 +88,7 @@ def test_building_a_query_starts_no_job(spark, monkeypatch):
         QUERIES[name](spark, SF)
         started[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert {n for n, jobs in started.items() if jobs} == {"density_grid"}
+    assert {n for n, jobs in started.items() if jobs} == set()
 
 
 def test_queries_leave_no_views(spark):
