@@ -96,3 +96,76 @@ def test_branches_below_six_segments(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
+def plain_templates(pages):
+    """{(host, shape): (template, purity)} of (host, path, good) by the rule, one branch after the other."""
+    counts = {}
+    for host, path, good in pages:
+        shape = tuple(re.sub("[0-9]+", "<n>", path).split("/")[1:])
+        n, l, g = counts.get((host, shape), (0, 0, 0))  # noqa: E741
+        counts[host, shape] = (n + 1, l + (good is not None), g + (good or 0))
+    add = lambda rows: tuple(map(sum, zip(*rows)))
+    out, todo = {}, {}
+    for (host, shape) in counts:
+        todo.setdefault((host, "", 0), []).append(shape)
+    while todo:
+        (host, template, at), shapes = todo.popitem()
+        out |= {(host, s): template for s in shapes if len(s) == at}
+        shapes = [s for s in shapes if len(s) > at]
+        # segments that all rows share, as far as they go, are passed together
+        while shapes and len({s[at] for s in shapes}) == 1:
+            template, at = f"{template}/{shapes[0][at]}", at + 1
+            out |= {(host, s): template for s in shapes if len(s) == at}
+            shapes = [s for s in shapes if len(s) > at]
+        branches = {}
+        for s in shapes:
+            branches.setdefault(s[at], []).append(s)
+        total = {s: add([counts[host, x] for x in rows]) for s, rows in branches.items()}
+        rare = {s for s, (n, _, _) in total.items() if n < 4}
+        al, ag = sum(x[1] for x in total.values()), sum(x[2] for x in total.values())
+        for s, rows in branches.items():
+            _, l, g = total[s]  # noqa: E741
+            alike = True
+            if 0 < l < al and 0 < ag < al:
+                p = ag / al
+                alike = (g / l - (ag - g) / (al - l)) ** 2 / (p * (1 - p) * (1 / l + 1 / (al - l))) < 1.96 ** 2
+            new = "*" if s in rare and len(rare) > 8 else "~" if len(branches) > 1 and alike else s
+            todo.setdefault((host, f"{template}/{new}", at + 1), []).extend(rows)
+    whole = add(counts.values())
+    corpus = whole[2] / whole[1] if whole[1] else 1.0
+    purity = {}
+    for key, t in out.items():
+        purity.setdefault((key[0], t), []).append(counts[key])
+    host_sum = {}
+    for (host, _), c in counts.items():
+        host_sum.setdefault(host, []).append(c)
+    prior = {h: (add(c)[2] + 10 * corpus) / (add(c)[1] + 10) for h, c in host_sum.items()}
+    judged = {k: (add(c)[2] + 10 * prior[k[0]]) / (add(c)[1] + 10) for k, c in purity.items()}
+    return {key: (t, judged[key[0], t]) for key, t in out.items()}
+
+
+def test_random_trees_against_plain_rule(spark):
+    rng = random.Random(12)
+    pages = []
+    for h in range(6):
+        bad = rng.choice(["spam", "a", "deep"])
+        for _ in range(500):
+            path = [rng.choice(["a", "b", "spam"])]
+            for d in range(rng.randrange(0, 10)):
+                # names that hardly repeat, few names, numbers, and a common chain
+                path.append(rng.choice([f"slug-{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}",
+                                        "x", "y", str(rng.randrange(99)), "deep", "deep"]) if d != 3 else "chain")
+            good = None if rng.random() < 0.4 else int(rng.random() < (0.1 if bad in path else 0.9))
+            pages.append((f"host{h}.test", "/" + "/".join(path), good))
+    pages += [("host0.test", "", 1), ("host0.test", "/", 0), ("one.test", "/a/b/c/d/e/f/g/h/i/j", None)]
+    df = spark.createDataFrame([(f"http://{h}{p}?q=1", g) for h, p, g in pages], "url string, good int").repartition(4)
+    want = plain_templates(pages)
+    got = url_filter.filter_urls(df, df["good"]).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        template, purity = want[r.host, tuple(re.sub("[0-9]+", "<n>", r.path).split("/")[1:])]
+        assert r.template == template and abs(r.purity - purity) < 1e-9, (r, template, purity)
+        assert r.verdict == ("block" if purity < 0.5 else "allow")
+    assert {c for r in got for c in r.template.split("/")} >= {"*", "~"} and max(r.template.count("/") for r in got) > 8
+    assert {r.verdict for r in got} == {"allow", "block"}
