@@ -111,3 +111,45 @@ def test_sureness_of_mixed_text_and_of_unlearned_script(spark, model):
     assert got[0].lang_sure > 0.9 and got[3].lang_sure > 0.8
     for k in (1, 2):
         assert got[k].lang_sure == 0 and got[k].lang_score <= 0.5 and got[k].lang_pred == model.langs[0]
+
+
+def plain_buckets(word):
+    """Buckets of a word's features, one n-gram after the other."""
+    low = bytes(c + 32 if 65 <= c <= 90 else c for c in word)
+    padded = b"\0" + low + b"\0"
+    mixed = lambda x: int(texts.mixed(np.array([x], np.uint64))[0]) >> 48 & (langid.BUCKETS - 1)
+    out = [mixed(int.from_bytes(padded[i:i + n], "little") + (n << 40)) for n in (2, 3, 4) for i in range(len(padded) - n + 1)]
+    own = np.frombuffer(low, np.uint8)
+    return out + [mixed(int(texts.span_hash(texts.byte_hash(own), np.array([0]), np.array([len(own)]))[0]))]
+
+
+def test_counts_and_word_scores_against_plain_loops(spark):
+    said = {"en": ["the cat and the dog", "The end of THE day 12"], "de": ["der Hund und die Katze", "das Ende des Tages ß"], "ru": ["кот и собака", "день и ночь"]}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in said.items() for t in ts)]
+    model = langid.fit(spark.createDataFrame(rows + [(9, None, "en"), (8, "no language", None)], "doc_id long, text string, lang string"))
+    langs = sorted(said)
+    counts = np.full((langid.BUCKETS, len(langs)), 0.5)
+    for lang, ts in said.items():
+        for word in " ".join(ts).split():
+            if any(c.isalpha() for c in word):
+                for b in plain_buckets(word.encode()):
+                    counts[b, langs.index(lang)] += 1
+    log = np.log(counts / counts.sum(0))
+    assert model.langs == langs and np.allclose(model.table, log - log.max(1, keepdims=True), atol=1e-5)
+    writes = {"c": {"en", "de"}, "к": {"ru"}}
+    words = "the Hund кот Tages unseen день the".split()
+    buf = np.frombuffer(" ".join(words).encode(), np.uint8)
+    starts, ends, _ = texts.words(buf, np.array([0, len(buf)]))
+    got, letters, known = langid._word_scores(buf, starts, ends, model)
+    assert letters.all() and known.all()
+    for k, word in enumerate(words):
+        found = plain_buckets(word.encode())
+        score = np.array([sum(model.table[b, j] for b in found) for j in range(3)]) / len(found) ** 0.5
+        score = np.maximum(score - score.max(), -langid.CLIP)
+        may = writes["c" if word.isascii() else "к"]
+        score = np.array([s if lang in may else -langid.CLIP for s, lang in zip(score, langs)])
+        assert np.allclose(got[k], score - score.max(), atol=1e-3), word
+    # one language throughout: its share of letters is 1, the lead over the next one makes the score
+    (lang,), (score,), _, _ = (x.to_pylist() for x in langid.label_texts(buf[:3], np.array([0, 3]), model))
+    gap = np.sort(got[0].astype(float))[-1] - np.sort(got[0].astype(float))[-2]
+    assert lang == "en" and score == pytest.approx(1 / (1 + np.exp(-min(gap, 50))), abs=1e-3)
