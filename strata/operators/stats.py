@@ -44,6 +44,36 @@ def top_n(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def top_values(df: DataFrame, column: str, k: int, name: str = "n", buckets: int = 1 << 16,
+               tracked: int = 10_000) -> DataFrame:
+    """The ``k`` most frequent values with their exact counts (ties by value), nulls left out.
+
+    For columns of very many distinct values, where a full frequency table is
+    one shuffled row a value.  A sketch of ``tracked`` items names ``k``
+    candidates; these are counted exactly, and the least of their counts is a
+    bound that no value of the result stays below.  Counts a hash bucket, at
+    most ``buckets`` rows, rule out all values of a bucket whose total is below
+    the bound; only values of the other buckets are counted one by one.
+
+    The result is exact whatever the sketch finds: a bad candidate only lowers
+    the bound, and fewer than ``k`` candidates drop it.  The pruning pays as
+    long as the k-th count is above the rows of an average bucket.  The column
+    is scanned four times; the plan is lazy.
+    """
+    src = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    items = src.agg(F.expr(f"approx_top_k(v, {int(k)}, {int(tracked)})")["item"].alias("items")).scalar()
+    candidates = src.where(F.array_contains(items, F.col("v"))).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    least = candidates.agg(F.when(F.count(F.lit(1)) >= k, F.min("c")).otherwise(0)).scalar()
+    bucket = F.pmod(F.xxhash64("v"), F.lit(int(buckets)))
+    totals = src.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("total"))
+    # At most ``buckets`` rows of one number each.
+    kept = F.broadcast(totals.where(F.col("total") >= least).select("b"))
+    rows = src.withColumn("b", bucket).join(kept, "b", "left_semi")
+    return (rows.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+            .orderBy(F.col("c").desc(), F.col("v").asc()).limit(k)
+            .select(F.col("v").alias(column), F.col("c").alias(name)))
+
+
 def rows_at_max(df: DataFrame, column: str) -> DataFrame:
     """All rows whose ``column`` equals the column maximum (ties kept); the
     maximum is a scalar subquery."""

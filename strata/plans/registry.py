@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = ["strata.plans.sales", "strata.plans.documents", "strata.plans.flights",
-            "strata.plans.strings", "strata.plans.demographics"]
+            "strata.plans.strings", "strata.plans.demographics", "strata.plans.round_trips"]
 
 
 def _load():

@@ -264,6 +264,11 @@ def xy_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return stats.xy_pairs(rows, "unit_cost", F.col("p_retailprice").alias("unit_price"), keep=["l_orderkey", "l_linenumber"])
 
 
+def top_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts on the most lines: exact counts, though hardly any part's lines are counted one by one."""
+    return stats.top_values(Tables(spark, sf).lineitem, "l_partkey", TOP_N)
+
+
 def like_prefix(spark: SparkSession, sf: str) -> DataFrame:
     """A predicate given as SQL text, with a prefix pattern."""
     t = Tables(spark, sf)
@@ -303,6 +308,7 @@ QUERIES = {
     "density_grid": density_grid,
     "xy_pairs": xy_pairs,
     "like_prefix": like_prefix,
+    "top_parts": top_parts,
     "peek_orders": peek_orders,
 }
 
@@ -413,6 +419,9 @@ SELECT q.n_name, q.n, round(min(v), 6) AS min, round(q1, 6) AS q1, round(median,
        round(max(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END), 6) AS whisker_hi,
        count(CASE WHEN NOT (v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) THEN 1 END) AS n_outliers
 FROM v JOIN q ON v.n_name = q.n_name GROUP BY q.n_name, q.n, q1, median, q3""",
+    "top_parts": f"""
+SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_partkey IS NOT NULL
+GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT {TOP_N}""",
     "like_prefix": f"SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders WHERE {LIKE_PREDICATE}",
     "peek_orders": f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT {TOP_N}",
     "density_grid": """

@@ -6,26 +6,12 @@ through the driver.
 
 from __future__ import annotations
 
+import json
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-@contextmanager
-def session_conf(spark: SparkSession, key: str, value: str):
-    """Set a session conf for the duration of a block, then restore it."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
 def _dealt(df: DataFrame, partitions: int | None) -> DataFrame:
     """``df`` in so many partitions, and so as many files a table partition at most."""
     if partitions is None:
@@ -34,18 +20,26 @@ def _dealt(df: DataFrame, partitions: int | None) -> DataFrame:
 
 
 def overwrite_partitions(df: DataFrame, table_name: str, partitions: int | None = None) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition overwrite).
-
-    ``insertInto`` is positional: partition columns must come last in ``df``,
-    in the table's order.  The per-write option is ignored by ``insertInto`` on
-    datasource tables, so the session's conf is set around the write: another
-    write of the same session turns dynamic meanwhile.  Where the data lies at
-    a path, ``overwrite_partitions_at`` touches no conf.
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite) of a datasource table.
+
+    Columns are taken by name and cast to the table's types.  ``insertInto``
+    ignores the per-write option and would need the session's conf, which other
+    writes of the session read too.  So the rows go to the table's own location
+    with the mode as an option of this write alone, and new partitions are then
+    made known to the catalog.  A write that fails leaves the old partitions: files
+    are staged and swapped when all tasks are done.
     """
     spark = df.sparkSession
-    target_cols = spark.table(table_name).columns
-    with session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        _dealt(df.select(*target_cols), partitions).write.mode("overwrite").insertInto(table_name)
+    found = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table_name} AS JSON").first()[0])
+    keys = found.get("partition_columns") or []
+    if not keys:
+        raise ValueError(f"{table_name} has no partition columns")
+    target = spark.table(table_name).schema
+    rows = df.select(*[df[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in target])
+    overwrite_partitions_at(rows, found["location"], keys, fmt=found["provider"], partitions=partitions)
+    if found.get("partition_provider", "").lower() == "catalog":
+        spark.sql(f"ALTER TABLE {table_name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table_name)
 
 
 def overwrite_partitions_at(df: DataFrame, path: str, partition_by: list[str],
@@ -67,6 +61,26 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
     _dealt(df.select(*cols), 1 if single_file else partitions).write.mode(mode).option("header", True).csv(path)
 
 
+def _plain_writer(df: DataFrame, mode: str, **options):
+    return (df.write.mode(mode).option("header", False).option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False).options(**options))
+
+
+def write_ctrl_a(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Header-less text with byte 0x01 between fields (see ``read_ctrl_a``)."""
+    _plain_writer(df, mode, sep="\x01", encoding="UTF-8").csv(path)
+
+
+def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Fully quoted CSV with doubled quotes inside fields (see ``read_quoted_csv``); nulls read back as empty text."""
+    _plain_writer(df, mode, quoteAll=True, quote='"', escape='"').csv(path)
+
+
+def write_unquoted_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Plain comma-separated rows (see ``read_unquoted_csv``): for fields without commas or line ends."""
+    _plain_writer(df, mode, quote="\u0000").csv(path)
+
+
 def append_to(df: DataFrame, path: str | None = None, table_name: str | None = None,
               fmt: str = "parquet", partitions: int | None = None) -> None:
     """Append a result to a collection (path) or a catalog table."""

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from strata.plans import registry
+from strata.plans import registry, round_trips
 from strata.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -79,11 +79,11 @@ def test_histogram_and_share_invariants(spark):
 
 
 def test_building_a_query_starts_no_job(spark, monkeypatch):
-    """Over tables whose footers are read already."""
+    """Over tables whose footers are read already; round trips write while they are built."""
     known = {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in DRIVER_TABLES}
     monkeypatch.setattr("strata.plans.tables.table", lambda _, __, name: known[name])
     started = {}
-    for name in sorted(QUERIES):
+    for name in sorted(set(QUERIES) - set(round_trips.QUERIES)):
         spark.sparkContext.setJobGroup(f"building {name}", "plans")
         QUERIES[name](spark, SF)
         started[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}"))
