@@ -162,85 +162,112 @@ class Instant(int):
     """Milliseconds since 1970 (UTC)."""
 
 
-def fitted(value, wanted: DataType):
-    """``value`` as a Spark type has it; null where it doesn't fit."""
-    if value is None:
-        return None
-    if isinstance(wanted, StringType):
-        if isinstance(value, str):
-            return value
-        if isinstance(value, Instant):
-            return (EPOCH + dt.timedelta(milliseconds=value)).isoformat()
-        return value.hex() if isinstance(value, bytes) else json.dumps(value, ensure_ascii=False, default=str)
-    if isinstance(wanted, BooleanType):
-        return value if isinstance(value, bool) else None
-    if isinstance(wanted, (TimestampType, TimestampNTZType, DateType)):
-        if not isinstance(value, Instant):
-            return None
+def _text(value):
+    if isinstance(value, str):
+        return value
+    if isinstance(value, Instant):
         try:
-            found = EPOCH + dt.timedelta(milliseconds=value)
+            return (EPOCH + dt.timedelta(milliseconds=value)).isoformat()
         except OverflowError:
-            return None
-        if isinstance(wanted, DateType):
-            return found.date()
-        return found if isinstance(wanted, TimestampType) else found.replace(tzinfo=None)
-    number = isinstance(value, (int, float)) and not isinstance(value, (bool, Instant))
+            return str(int(value))
+    return value.hex() if isinstance(value, bytes) else json.dumps(value, ensure_ascii=False, default=str)
+
+
+def _number(value) -> bool:
+    return isinstance(value, (int, float)) and not isinstance(value, (bool, Instant))
+
+
+def _whole(bits: int):
+    least, most = -(1 << bits - 1), (1 << bits - 1) - 1
+
+    def fit(value):
+        if type(value) is int:
+            return value if least <= value <= most else None
+        return int(value) if type(value) is float and value.is_integer() and least <= value <= most else None
+    return fit
+
+
+def fitter(wanted: DataType):
+    """A function that gives a value, null excepted, as Arrow takes it for a Spark type; null where it doesn't fit."""
+    if isinstance(wanted, StringType):
+        return _text
+    if isinstance(wanted, BooleanType):
+        return lambda v: v if isinstance(v, bool) else None
+    if isinstance(wanted, (TimestampType, TimestampNTZType)):
+        return lambda v: v * 1000 if isinstance(v, Instant) and abs(v) < 1 << 53 else None
+    if isinstance(wanted, DateType):
+        return lambda v: v // 86_400_000 if isinstance(v, Instant) and abs(v) < 1 << 53 else None
     if isinstance(wanted, (DoubleType, FloatType)):
-        return float(value) if number else None
+        return lambda v: float(v) if _number(v) else None
     bits = {ByteType: 8, ShortType: 16, IntegerType: 32, LongType: 64}.get(type(wanted))
     if bits:
-        if not number or value != value or value in (float("inf"), float("-inf")) or int(value) != value:
-            return None
-        return int(value) if -(1 << bits - 1) <= value < 1 << bits - 1 else None
+        return _whole(bits)
     if isinstance(wanted, BinaryType):
-        return value if isinstance(value, bytes) else None
+        return lambda v: v if isinstance(v, bytes) else None
     if isinstance(wanted, ArrayType):
-        return [fitted(v, wanted.elementType) for v in value] if isinstance(value, list) else None
+        item = fitter(wanted.elementType)
+        return lambda v: [None if x is None else item(x) for x in v] if isinstance(v, list) else None
     if isinstance(wanted, MapType):
-        return [(k, fitted(v, wanted.valueType)) for k, v in value.items()] if isinstance(value, dict) else None
+        item = fitter(wanted.valueType)
+        return lambda v: [(k, None if x is None else item(x)) for k, x in v.items()] if isinstance(v, dict) else None
     if isinstance(wanted, StructType):
-        return {f.name: fitted(value.get(f.name), f.dataType) for f in wanted} if isinstance(value, dict) else None
+        inner = [(f.name, fitter(f.dataType)) for f in wanted]
+        return lambda v: ({n: None if v.get(n) is None else fit(v[n]) for n, fit in inner}
+                          if isinstance(v, dict) else None)
     raise ValueError(f"{FORMAT} has no {wanted.simpleString()}")
 
 
-def encoded(name: str, value, wanted: DataType) -> bytes:
-    """An element of a document."""
-    key = name.encode() + b"\0"
-    if value is None:
-        return b"\x0a" + key
+def _millis(value) -> int:
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime(value.year, value.month, value.day)
+    return ((value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)) - EPOCH) // dt.timedelta(milliseconds=1)
+
+
+def encoder(wanted: DataType):
+    """(kind, function from a value, null excepted, to its bytes) for a Spark type."""
     if isinstance(wanted, StringType):
-        text = value.encode() + b"\0"
-        return b"\x02" + key + struct.pack(INT, len(text)) + text
+        def text(value):
+            data = value.encode()
+            return struct.pack(INT, len(data) + 1) + data + b"\0"
+        return b"\x02", text
     if isinstance(wanted, BooleanType):
-        return b"\x08" + key + bytes([value])
+        return b"\x08", lambda v: b"\1" if v else b"\0"
     if isinstance(wanted, (ByteType, ShortType, IntegerType)):
-        return b"\x10" + key + struct.pack(INT, value)
+        return b"\x10", struct.Struct(INT).pack
     if isinstance(wanted, LongType):
-        return b"\x12" + key + struct.pack(LONG, value)
+        return b"\x12", struct.Struct(LONG).pack
     if isinstance(wanted, (DoubleType, FloatType)):
-        return b"\x01" + key + struct.pack(DOUBLE, value)
+        return b"\x01", struct.Struct(DOUBLE).pack
     if isinstance(wanted, BinaryType):
-        return b"\x05" + key + struct.pack(INT, len(value)) + b"\0" + value
+        return b"\x05", lambda v: struct.pack(INT, len(v)) + b"\0" + v
     if isinstance(wanted, (TimestampType, TimestampNTZType, DateType)):
-        if not isinstance(value, dt.datetime):
-            value = dt.datetime(value.year, value.month, value.day)
-        value = value if value.tzinfo else value.replace(tzinfo=dt.timezone.utc)
-        return b"\x09" + key + struct.pack(LONG, (value - EPOCH) // dt.timedelta(milliseconds=1))
+        return b"\x09", lambda v: struct.pack(LONG, _millis(v))
     if isinstance(wanted, ArrayType):
-        return b"\x04" + key + document((str(i), v, wanted.elementType) for i, v in enumerate(value))
+        kind, pack = encoder(wanted.elementType)
+        return b"\x04", lambda v: _framed([_element(kind, pack, b"%d\0" % i, x) for i, x in enumerate(v)])
     if isinstance(wanted, MapType):
-        return b"\x03" + key + document((k, v, wanted.valueType) for k, v in value)
+        kind, pack = encoder(wanted.valueType)
+        return b"\x03", lambda v: _framed([_element(kind, pack, k.encode() + b"\0", x) for k, x in v])
     if isinstance(wanted, StructType):
-        return b"\x03" + key + document((f.name, value[f.name], f.dataType) for f in wanted)
+        fields = [(f.name, f.name.encode() + b"\0", *encoder(f.dataType)) for f in wanted]
+        return b"\x03", lambda v: _framed([_element(kind, pack, key, v[name]) for name, key, kind, pack in fields])
     raise ValueError(f"{FORMAT} has no {wanted.simpleString()}")
 
 
-def document(fields) -> bytes:
-    """A document of (name, value, type)."""
-    body = b"".join(encoded(*f) for f in fields)
+def _element(kind: bytes, pack, key: bytes, value) -> bytes:
+    return b"\x0a" + key if value is None else kind + key + pack(value)
+
+
+def _framed(parts: list[bytes]) -> bytes:
+    body = b"".join(parts)
     return struct.pack(INT, len(body) + 5) + body + b"\0"
 
 
+def record(schema: StructType):
+    """A function from a row as a dictionary to its document."""
+    return encoder(schema)[1]
+
+
 # --------------------------------------------------------------------------- files
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -372,15 +399,16 @@ class BsonReader(DataSourceReader):
         if not split.size:
             return
         schema = to_arrow_schema(self.wanted)
-        types = {f.name: f.dataType for f in self.wanted}
+        fit = {f.name: fitter(f.dataType) for f in self.wanted}
         files, _ = opened(self.path)
         with files.open_input_file(split.path) as handle:
             rows, held = [], 0
             for data, here in split_documents(Bytes(handle, split.size), split.path, split.start, split.stop, self.skip_torn):
-                row = dict.fromkeys(types)
+                row = dict.fromkeys(fit)
                 for name, kind, at, stop in elements(data, here):
-                    if name in types:  # other fields are stepped over
-                        row[name] = fitted(decoded(data, kind, at, stop), types[name])
+                    if name in fit:  # other fields are stepped over
+                        value = decoded(data, kind, at, stop)
+                        row[name] = None if value is None else fit[name](value)
                         held += stop - at
                 rows.append(row)
                 if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
@@ -404,12 +432,13 @@ class BsonWriter(DataSourceArrowWriter):
     def write(self, iterator):
         files, inner = opened(self.path)
         files.create_dir(inner, recursive=True)
+        bytes_of = record(self.fields)
         name, handle = f"part-{uuid.uuid4().hex}.bson", None
         for batch in iterator:
             if handle is None and batch.num_rows:
                 handle = files.open_output_stream(f"{inner}/_{name}")
             for row in batch.to_pylist():
-                handle.write(document((f.name, row[f.name], f.dataType) for f in self.fields))
+                handle.write(bytes_of(row))
         if handle is None:
             return Written(None)
         handle.close()

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.sources import bson
 from strata.sources.bson import read_bson, write_bson
@@ -34,8 +35,7 @@ def _dump(path, documents):
 
 
 def _doc(i, size=0):
-    from pyspark.sql.types import LongType, StringType
-    return bson.document([("id", i, LongType()), ("pad", "x" * size, StringType())])
+    return bson.record(StructType.fromDDL("id long, pad string"))({"id": i, "pad": "x" * size})
 
 
 def test_document_longer_than_its_split(spark, tmpdir_path):
@@ -55,10 +55,9 @@ def test_torn_document(spark, tmpdir_path, split):
 
 def test_a_dump_inside_a_document_is_no_silent_error(spark, tmpdir_path):
     """Documents held as bytes by another look like documents to a split that begins among them."""
-    from pyspark.sql.types import BinaryType
     inner = b"".join(_doc(100 + i, 20) for i in range(10))
     path = os.path.join(tmpdir_path, "inner.bson")
-    _dump(path, [_doc(0), bson.document([("held", inner, BinaryType())]), _doc(1)])
+    _dump(path, [_doc(0), bson.record(StructType.fromDDL("held binary"))({"held": inner}), _doc(1)])
     with pytest.raises(Exception, match="borders|torn document"):
         read_bson(spark, path, "id long", split_bytes=120).collect()
     assert [r.id for r in read_bson(spark, path, "id long").collect()] == [0, None, 1]
@@ -108,3 +107,15 @@ def test_random_bytes_are_no_documents():
             assert bson.document_end(data, 0, len(data)) <= len(data)
         except bson.Broken:
             pass
+
+
+def test_dates_maps_and_edges_of_numbers(spark, tmpdir_path):
+    schema = "d date, n timestamp_ntz, m map<string, array<int>>, f float, x double, y double, s short"
+    rows = spark.createDataFrame([(dt.date(1950, 2, 3), dt.datetime(1960, 1, 1, 0, 0, 0, 999000), {"a": [1, None], "b": None}, 0.5, float("nan"),
+                                   float("-inf"), -32768), (None,) * 7], schema)
+    path = os.path.join(tmpdir_path, "edges")
+    write_bson(rows, path)
+    assert sorted(map(str, read_bson(spark, path, schema).collect())) == sorted(map(str, rows.collect()))
+    narrow = read_bson(spark, path, "x long, y int, s byte, f int, d string, m struct<a: string>").select("x", "y", "s", "f", "d", "m.a").collect()
+    assert sorted(map(str, (tuple(r) for r in narrow))) == sorted(map(str, [
+        (None, None, None, None, "1950-02-03T00:00:00+00:00", "[1, null]"), (None,) * 6]))
