@@ -3,13 +3,16 @@ segment closing and study-window clipping.
 
 Scale notes
 -----------
-* ``overlap_join`` never compares all intervals of a key with each other.
-  Intervals are cut into the nodes of a tree of days that cover them, and the
+* ``overlap_join`` never compares all intervals of a large key with each other.
+  A key with few right rows is joined as it is, each row once.  The intervals of
+  other keys are cut into the nodes of a tree of days that cover them, and the
   sides meet on (key, node) where a cover holds the other's start, so each pair
   is produced once and a long interval is a dozen rows.  A hot key is split by
   time; AQE splits a hot (key, node) further, as the exchanges are the join's own.
 * ``keep_latest`` is a top-1 per key with a partial (map-side) limit, so
-  duplicate (key, start) rows are cut down before any shuffle.
+  duplicate (key, start) rows are cut down before any shuffle.  Where
+  ``close_segments`` follows, ``together`` before it brings all rows of a closing
+  key to one place, and both windows share that one shuffle and one sort.
 * ``close_segments`` is a ``lead`` per key.  After ``keep_latest`` a
   (key, start day) is unique, so a key holds at most one row per calendar
   day: about 36,500 in a century.
@@ -18,12 +21,21 @@ Scale notes
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DateType, IntegralType, StringType
 
 OPEN_END = "9999-12-31"
 
 
 #: A leaf of the tree of days holds ``LEAF_DAYS`` days, a node above ``FAN`` of the level below.
 FAN, LEAF_DAYS = 4, 128
+#: Keys with at most ``FEW`` right rows are not cut.  Which are, both sides know by the key's hash bucket.
+FEW, BUCKETS = 64, 8192
+#: The node of a row that is not cut.
+UNCUT = -1
+
+
+def _hashes_alike(kind) -> bool:
+    return isinstance(kind, (IntegralType, DateType)) or kind == StringType()
 
 
 def _covering(way: int) -> str:
@@ -65,21 +77,32 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
     Column names other than ``keys`` must differ between the sides; the keys
     appear once in the output.  Rows with a null bound never match.
 
-    The later start of a pair lies in the other's interval.  So each side sends
-    the few nodes of a tree of days that cover its interval, and the nodes above
-    its start, and a pair meets where one's cover holds the other's start: once,
-    as a cover's nodes share no day.  ``bin_days`` is the size of a leaf.  Days
-    after the right side's last start (a scalar subquery of the same plan) share
-    a leaf, so open ends such as 9999-12-31 cost no more than others.
+    A key with ``FEW`` right rows at most sends each row once, and a left row is
+    compared with those few.  For other keys: the later start of a pair lies in the
+    other's interval.  So each side sends the few nodes of a tree of days that cover
+    its interval, and the nodes above its start, and a pair meets where one's cover
+    holds the other's start: once, as a cover's nodes share no day.  ``bin_days`` is
+    the size of a leaf.  Days after the right side's last start share a leaf, so open
+    ends such as 9999-12-31 cost no more than others.  The last start and the
+    ``BUCKETS`` flags that say which keys are cut are a scalar subquery of the same plan.
     """
-    latest = F.datediff(right.agg(F.max(right_start)).scalar(), F.to_date(F.lit("0001-01-01")))
+    counted = right.dropna(subset=keys).groupBy(*keys).agg(F.max(right_start).alias("_ovl_s"), F.count(F.lit(1)).alias("_ovl_n"))
+    # a hash must not depend on the side: other types of keys are all cut
+    plain = all(left.schema[k].dataType == right.schema[k].dataType and _hashes_alike(left.schema[k].dataType) for k in keys)
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(BUCKETS)).cast("int")
+    many = F.collect_set(F.when(F.col("_ovl_n") > FEW, bucket))
+    seen = counted.agg(F.max("_ovl_s").alias("_ovl_s"), many.alias("_ovl_m"))
+    flags = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.array_contains("_ovl_m", i))
+    seen = seen.select(F.struct(F.col("_ovl_s").alias("start"), flags.alias("cut")).alias("_ovl")).scalar()
+    cut = F.get(seen["cut"], bucket) if plain else F.lit(True)
+    latest = F.datediff(seen["start"], F.to_date(F.lit("0001-01-01")))
     # without any right start there is no pair; any leaf will do
     last = F.coalesce(F.floor(latest / F.lit(bin_days)), F.lit(0).cast("bigint"))
 
     def sent(df: DataFrame, s: str, e: str, cover: int, node: str) -> DataFrame:
         # covers of one side meet starts of the other
-        nodes = F.expr(f"explode(concat({_covering(cover)}, {_above(1 - cover)}))")
-        return _noded(df, s, e, last, bin_days).select(*df.columns, nodes.alias(node))
+        nodes = F.when(cut, F.expr(f"concat({_covering(cover)}, {_above(1 - cover)})")).otherwise(F.array(F.lit(UNCUT)))
+        return _noded(df, s, e, last, bin_days).select(*df.columns, F.explode(nodes).alias(node))
 
     lb = sent(left, left_start, left_end, 0, "_ovl_l")
     rb = sent(right, right_start, right_end, 1, "_ovl_r")
@@ -87,7 +110,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str],
     cond = [F.col(k) == F.col(f"_ovl_r_{k}") for k in keys]
     cond += [F.col("_ovl_l") == F.col("_ovl_r"),
              F.col(right_start) <= F.col(left_end), F.col(right_end) >= F.col(left_start),
-             (F.col(right_start) >= F.col(left_start)) == (F.col("_ovl_l").bitwiseAND(4) == 0)]
+             (F.col("_ovl_l") == UNCUT) | ((F.col(right_start) >= F.col(left_start)) == (F.col("_ovl_l").bitwiseAND(4) == 0))]
     joined = lb.join(rb, cond, "inner")
     return joined.drop("_ovl_l", "_ovl_r", *[f"_ovl_r_{k}" for k in keys])
 
